@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from stratafold.functions.rows import rows_frame
 from stratafold.functions.types import canonical_type, declared_length, spark_type
 
 
@@ -143,4 +144,4 @@ def contract_rows(spark: SparkSession, contracts: Iterable[TableContract]) -> Da
         for contract in contracts
         for position, c in enumerate(contract.columns, start=1)
     ]
-    return spark.createDataFrame(rows, CONTRACT_ROWS)
+    return rows_frame(spark, rows, CONTRACT_ROWS)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafold.contract import TableContract, contract_rows
+from stratafold.functions.rows import rows_frame
 from stratafold.functions.types import canonical_type, canonical_type_column
 
 SCHEMA_ROWS = ("table_name string, position int, column_name string, data_type string, "
@@ -24,7 +25,7 @@ def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
         for name, df in tables.items()
         for position, f in enumerate(df.schema, start=1)
     ]
-    return spark.createDataFrame(rows, SCHEMA_ROWS)
+    return rows_frame(spark, rows, SCHEMA_ROWS)
 
 
 def catalog_rows(information_schema: DataFrame, engine: str) -> DataFrame:
@@ -54,7 +55,7 @@ def schema_diff(spark: SparkSession, contracts: Iterable[TableContract], actual:
         F.col("canonical_type").alias("expected_type"))
     compared, expected = F.col("canonical_type"), F.col("expected_type")
     if strict:
-        exact = spark.createDataFrame(types, "s_table string, s_column string, s_type string")
+        exact = rows_frame(spark, types, "s_table string, s_column string, s_type string")
         declared = declared.join(
             exact, (F.col("e_table") == F.col("s_table")) & (F.col("e_column") == F.col("s_column")))
         compared, expected = F.col("data_type"), F.col("s_type")
@@ -121,8 +122,8 @@ def key_sets(spark: SparkSession, declared: Iterable[TableContract],
     compared = {(table, kind) for table, kind, _ in expected}
     stated = {table for table, _, _ in actual} | {c.name for c in modelled}
     shape = "table_name string, kind string, column_name string"
-    left = spark.createDataFrame([r for r in expected if r[0] in stated], shape)
-    right = spark.createDataFrame([r for r in actual if r[:2] in compared], shape)
+    left = rows_frame(spark, [r for r in expected if r[0] in stated], shape)
+    right = rows_frame(spark, [r for r in actual if r[:2] in compared], shape)
     marked = left.withColumn("e", F.lit(True)).join(
         right.withColumn("a", F.lit(True)), ["table_name", "kind", "column_name"], "full")
     status = F.when(F.col("a").isNull(), "missing").when(F.col("e").isNull(), "extra")
@@ -143,7 +144,7 @@ def missing_descriptions(spark: SparkSession, declared: Iterable[TableContract],
             rows.append((contract.name, None))
         rows += [(contract.name, c.name) for c in contract.columns
                  if c.description and c.name not in described]
-    return spark.createDataFrame(rows, "table_name string, column_name string")
+    return rows_frame(spark, rows, "table_name string, column_name string")
 
 
 def column_fill(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,20 @@ from stratafold.sources.raw import append_load, load_ids
 
 LAYERS = ("raw", "stg", "silver")
 _FINGERPRINT = "stratafold.definition"
+_PARALLEL_TABLES = 8
+
+T = TypeVar("T")
+
+
+def in_parallel(jobs: Iterable[Callable[[], T]]) -> list[T]:
+    """Independent Spark jobs side by side, so that small tables do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=_PARALLEL_TABLES) as pool:
+        running = [pool.submit(job) for job in jobs]
+        try:
+            return [job.result() for job in running]
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
 
 
 @dataclass
@@ -65,6 +81,11 @@ class Layers:
             self.spark.sql(
                 f"ALTER TABLE {target} SET TBLPROPERTIES ('{_FINGERPRINT}' = '{definition}')")
 
+    def replace_all(self, frames: Mapping[str, DataFrame]) -> None:
+        """Full refresh of several tables that do not read each other."""
+        in_parallel([lambda name=name, df=df: self.replace(df, name)
+                     for name, df in frames.items()])
+
     def definition(self, name: str) -> str | None:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(name)}").collect()
         return {row.key: row.value for row in rows}.get(_FINGERPRINT)
@@ -94,41 +115,57 @@ def refresh(layers: Layers, models: Iterable[Model], restate: bool = True,
     """
     steps: list[Step] = []
     rebuilt: set[str] = set()
-    for model in models:
-        df = None
-        if not layers.exists(model.name):
-            reason = "new"
-        elif restate:
-            reason = "restated"
-        elif rebuilt & set(model.reads):
-            reason = "source rebuilt"
-        else:
-            df = model.build(layers.table)
-            known = layers.definition(model.name)
-            reason = "" if known == _definition(model, df) else "definition changed"
-        if not reason:
-            steps.append(Step(model.name, "keep", "unchanged"))
-            continue
-        rebuilt.add(model.name)
-        steps.append(Step(model.name, "build", reason))
+    for wave in _waves(models):
+        planned = [(model, _reason(layers, model, rebuilt, restate)) for model in wave]
+        due = [(model, reason) for model, reason in planned if reason]
+        rebuilt |= {model.name for model, _ in due}
+        steps += [Step(model.name, "build" if reason else "keep", reason or "unchanged")
+                  for model, reason in planned]
         if not dry_run:
-            df = df if df is not None else model.build(layers.table)
-            layers.replace(df, model.name, _definition(model, df))
+            in_parallel([lambda model=model: _build(layers, model) for model, _ in due])
     return steps
 
 
+def _waves(models: Iterable[Model]) -> list[list[Model]]:
+    """The models in their given order, cut wherever one reads another of the same wave."""
+    waves: list[list[Model]] = [[]]
+    for model in models:
+        if {other.name for other in waves[-1]} & set(model.reads):
+            waves.append([])
+        waves[-1].append(model)
+    return waves
+
+
+def _reason(layers: Layers, model: Model, rebuilt: set[str], restate: bool) -> str:
+    """Why a model is built now; empty when its stored table is kept."""
+    if not layers.exists(model.name):
+        return "new"
+    if restate:
+        return "restated"
+    if rebuilt & set(model.reads):
+        return "source rebuilt"
+    current = _definition(model, model.build(layers.table))
+    return "" if layers.definition(model.name) == current else "definition changed"
+
+
+def _build(layers: Layers, model: Model) -> None:
+    df = model.build(layers.table)
+    layers.replace(df, model.name, _definition(model, df))
+
+
 def ingest(layers: Layers, sources: Mapping[str, DataFrame], load_id: str,
            load_time: datetime | str, limit: Callable[[DataFrame], DataFrame] | None = None,
            dry_run: bool = False) -> list[Step]:
     """Append every source table to the raw layer as one load."""
-    steps = []
-    for name, df in sources.items():
+
+    def load(name: str, df: DataFrame) -> Step:
         rows = None
         if not dry_run:
             rows = append_load(limit(df) if limit else df, layers.qualified(f"raw.{name}"),
                                load_id, load_time)
-        steps.append(Step(f"raw.{name}", "load", load_id, rows))
-    return steps
+        return Step(f"raw.{name}", "load", load_id, rows)
+
+    return in_parallel([lambda name=name, df=df: load(name, df) for name, df in sources.items()])
 
 
 def run(layers: Layers, sources: Mapping[str, DataFrame], models: Iterable[Model], load_id: str,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafold.contract import TableContract
+from stratafold.functions.rows import rows_frame
 from stratafold.functions.values import concat_key, email_for, iso_text, parse_date
 from stratafold.operators import audits, conformance, joins, windows
 from stratafold.operators.conform import conform
@@ -48,9 +49,9 @@ def new_layers(spark: SparkSession, label: str) -> Layers:
 
 def target(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """Target tables by name, over the eight source tables each stamped as one load."""
-    found = star_schema.sources(spark, folder)
+    source = star_schema.source_reader(spark, folder)
     table = unstored(all_models(wide=True), lambda name: raw.stamp(
-        found[name.removeprefix("raw.")], "load_1", LOAD_TIME))
+        source(name.removeprefix("raw.")), "load_1", LOAD_TIME))
     return lambda name: table(f"silver.{name}")
 
 
@@ -132,7 +133,7 @@ def csv_folder_scan(spark, folder):
     LEFT JOIN lineitem l ON l.l_linenumber = s.wet_enum_id GROUP BY s.wet_enum_id, s."value" """)
 def seed_enum(spark, folder):
     """The seeded law table with the number of lines that refer to each law."""
-    seed = star_schema.literal_rows(spark, contracts.WET_ENUM_SEED, ["wet_enum_id", "value"])
+    seed = rows_frame(spark, contracts.WET_ENUM_SEED, "wet_enum_id int, value string")
     used = read(spark, folder, "lineitem").groupBy(F.col("l_linenumber").alias("used")).agg(
         F.count(F.lit(1)).alias("uses"))
     return seed.join(used, F.col("wet_enum_id") == F.col("used"), "left").select(
@@ -174,7 +175,7 @@ def stg_date_parse(spark, folder):
     CAST(CAST(dd_eind AS TIMESTAMP) AS DATE) AS dd_eind,
     volume, status_indicatie, kode_regeling, 'load_1' AS _load_id FROM wvind_b"""))
 def stg_indication(spark, folder):
-    source = star_schema.sources(spark, folder)["wvind_b"]
+    source = star_schema.source_reader(spark, folder)("wvind_b")
     model = staging_model(contracts.RAW["wvind_b"])
     return model.build(lambda name: raw.stamp(source, "load_1", LOAD_TIME))
 
@@ -273,7 +274,7 @@ def lookup_conditional(spark, folder):
         star_schema.choice("l_returnflag", {"A": "EINDE_JZG", "N": "EINDE_WMO"}).alias("reason"),
         F.when(F.col("l_quantity") < 10, None).when(F.col("l_linestatus") == "O", "JEUGDWET")
         .otherwise("WMO").alias("law"))
-    codes = star_schema.sources(spark, folder)["abc_refcod"]
+    codes = star_schema.source_reader(spark, folder)("abc_refcod")
     youth = F.col("law") == "JEUGDWET"
     return joins.lookup_by_domain(lines, codes, F.col("code"), F.col("reason"), F.col("domein"), [
         (youth, "JZG_REDEN_EINDE_PRODUCT"), (~youth, "WVRTEIND")])
@@ -332,11 +333,6 @@ def audit_decision_provision(spark, folder):
     return next(a for a in suite.target_audits() if a.name == name).violations(found)
 
 
-@query(oracle.with_targets(
-    f"SELECT *, violations = 0 AS passed FROM ({oracle.AUDITS}) a"))
-def audit_summary(spark, folder):
-    return audits.summarise(targets(spark, folder), suite.target_audits())
-
 
 # --- schema conformance -----------------------------------------------------------------------------
 
@@ -513,6 +509,16 @@ def layer_full_refresh(spark, folder):
     return layers.table("silver.party")
 
 
+@query(oracle.with_targets(
+    f"SELECT *, violations = 0 AS passed FROM ({oracle.AUDITS}) a"))
+def audit_summary(spark, folder):
+    """All checks of the targets, which are stored first because several checks read each."""
+    layers = new_layers(spark, "audit")
+    built = targets(spark, folder)
+    layers.replace_all({f"silver.{name}": df for name, df in built.items()})
+    return audits.summarise(layers.frames("silver"), suite.target_audits())
+
+
 @query(oracle.with_sources(["szclient"], f"""SELECT * FROM ({oracle.target("client")}) c
     ORDER BY rechtspersoon_id LIMIT 10"""))
 def adhoc_limit(spark, folder):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratafold.functions.rows import rows_frame
 from stratafold.functions.values import email_for, iso_text
-from stratafold.sources.tables import parquet_reader
+from stratafold.plans.contracts import RAW
+from stratafold.sources.tables import parquet_reader, scan
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -21,13 +24,6 @@ CODES = [
 ]
 
 
-def literal_rows(spark: SparkSession, rows: Iterable[tuple], names: Iterable[str]) -> DataFrame:
-    """A few constant rows, of a size Spark knows."""
-    names = list(names)
-    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
 def choice(column: str, values: dict[str, str | None]) -> F.Column:
     """The value listed for a column's content; NULL where none is listed."""
     picked = F.lit(None).cast("string")
@@ -36,50 +32,75 @@ def choice(column: str, values: dict[str, str | None]) -> F.Column:
     return picked
 
 
-def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Lines are indications, their distinct (order, line) pairs dossiers and payments."""
+def source_reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """The source tables by name: lines are indications, their distinct (order, line) pairs
+    are dossiers and payments."""
     read = parquet_reader(spark, folder)
-    lines = read("lineitem")
     dossier_no = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    per_line = lines.groupBy("l_orderkey", "l_linenumber")
-    law_names = {"0": "JEUGDWET", "1": "WMO", "2": None}
-    return {
-        "abc_refcod": literal_rows(spark, CODES, ["code", "domein", "omschrijving"]),
-        "szclient": read("customer").select(
+
+    def abc_refcod():
+        return rows_frame(spark, CODES, "code string, domein string, omschrijving string")
+
+    def szclient():
+        return read("customer").select(
             F.col("c_custkey").alias("clientnr"),
-            F.when(F.col("c_acctbal") < 0, "0").otherwise("1").alias("ind_gezag")),
-        "szregel": read("region").select(
+            F.when(F.col("c_acctbal") < 0, "0").otherwise("1").alias("ind_gezag"))
+
+    def szregel():
+        names = choice("r_regionkey", {"0": "JEUGDWET", "1": "WMO", "2": None})
+        return read("region").select(
             F.col("r_regionkey").cast("string").alias("kode_regeling"),
-            F.when(F.col("r_regionkey") > 2, F.col("r_name"))
-            .otherwise(choice("r_regionkey", law_names)).alias("omschryving")),
-        "szukhis": per_line.agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("bedrag"),
-            F.max("l_partkey").alias("verslagnr"),
-        ).select(dossier_no.alias("uniekwvdos"), "bedrag", "verslagnr"),
-        "szwerker": read("supplier").select(
+            F.when(F.col("r_regionkey") > 2, F.col("r_name")).otherwise(names).alias("omschryving"))
+
+    def szukhis():
+        amount = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+        paid = read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+            amount.alias("bedrag"), F.max("l_partkey").alias("verslagnr"))
+        return paid.select(dossier_no.alias("uniekwvdos"), "bedrag", "verslagnr")
+
+    def szwerker():
+        name = F.regexp_replace("s_name", "#", " ")
+        return read("supplier").select(
             F.col("s_suppkey").cast("string").alias("kode_werker"),
-            F.regexp_replace("s_name", "#", " ").alias("naam"),
+            name.alias("naam"),
             F.when(F.col("s_acctbal") < 0, "BBZ").otherwise("WMO").alias("kode_instan"),
-            email_for(F.regexp_replace("s_name", "#", " ")).alias("e_mail"),
+            email_for(name).alias("e_mail"),
             F.when(F.col("s_nationkey") < 8, "M").when(F.col("s_nationkey") < 16, "V")
             .otherwise("X").alias("ind_geslacht"),
             F.lit("synthetic").alias("toelichting"),
-            F.concat(F.lit("06-"), F.substring("s_name", 11, 8)).alias("telefoon")),
-        "wvbesl": read("orders").select(
-            F.col("o_orderkey").alias("besluitnr"), F.col("o_custkey").alias("clientnr")),
-        "wvdos": per_line.agg(F.min("l_returnflag").alias("flag")).select(
+            F.concat(F.lit("06-"), F.substring("s_name", 11, 8)).alias("telefoon"))
+
+    def wvbesl():
+        return read("orders").select(
+            F.col("o_orderkey").alias("besluitnr"), F.col("o_custkey").alias("clientnr"))
+
+    def wvdos():
+        # A number as the smallest flag: text in an aggregate would cost a sort.
+        flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2) \
+            .when(F.col("l_returnflag") == "R", 3)
+        reason = choice("flag", {"1": "EINDE_JZG", "2": "EINDE_WMO", "3": "ONBEKEND"})
+        flagged = read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+            F.min(flag).alias("flag"))
+        return flagged.select(
             F.col("l_orderkey").alias("besluitnr"),
             F.col("l_linenumber").cast("bigint").alias("volgnr_ind"),
-            dossier_no.alias("uniek"),
-            choice("flag", {"A": "EINDE_JZG", "N": "EINDE_WMO", "R": "ONBEKEND"})
-            .alias("kode_reden_einde_voorz")),
-        "wvind_b": lines.select(
+            dossier_no.alias("uniek"), reason.alias("kode_reden_einde_voorz"))
+
+    def wvind_b():
+        end = F.date_add("l_shipdate", F.col("l_quantity").cast("int"))
+        return read("lineitem").select(
             F.col("l_orderkey").alias("besluitnr"),
             F.col("l_linenumber").cast("bigint").alias("volgnr_ind"),
             F.col("l_suppkey").alias("clientnr"),
-            iso_text(F.col("l_shipdate")).alias("dd_begin"),
-            iso_text(F.date_add("l_shipdate", F.col("l_quantity").cast("int"))).alias("dd_eind"),
+            iso_text(F.col("l_shipdate")).alias("dd_begin"), iso_text(end).alias("dd_eind"),
             (F.col("l_quantity") * 0.5).alias("volume"),
             choice("l_linestatus", {"O": "ACTIEF", "F": "GESLOTEN"}).alias("status_indicatie"),
-            choice("l_returnflag", {"A": "0", "N": "1", "R": "2"}).alias("kode_regeling")),
-    }
+            choice("l_returnflag", {"A": "0", "N": "1", "R": "2"}).alias("kode_regeling"))
+
+    tables = {f.__name__: f for f in (abc_refcod, szclient, szregel, szukhis, szwerker, wvbesl,
+                                      wvdos, wvind_b)}
+    return cache(lambda name: tables[name]())
+
+
+def sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return scan(RAW, source_reader(spark, folder))

@@ -28,36 +28,22 @@ def append_load(df: DataFrame, table: str, load_id: str, load_time: datetime | s
     """
     if not re.fullmatch(r"[A-Za-z0-9_.\-]+", load_id):
         raise ValueError(f"load id {load_id!r} is not usable as a partition name")
+    spark = df.sparkSession
     stamped = stamp(df, load_id, load_time)
-    _create_if_missing(stamped, table)
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({stamped.schema.toDDL()}) "
+                  f"PARTITIONED BY ({LOAD_ID})")
+    known = spark.table(table).columns
+    if sorted(known) != sorted(stamped.columns):
+        raise ValueError(f"{table} has columns {sorted(known)}, the load {sorted(stamped.columns)}")
     written = Observation()
-    _write_partitions(stamped.observe(written, F.count(F.lit(1)).alias("rows")), table)
+    load = stamped.select(*[name for name in known if name != LOAD_ID]).observe(
+        written, F.count(F.lit(1)).alias("rows"))
+    spark.sql(f"INSERT OVERWRITE {table} PARTITION ({LOAD_ID} = '{load_id}') SELECT * FROM {{load}}",
+              load=load)
     return written.get["rows"]
 
 
-def append_history(df: DataFrame, table: str) -> None:
-    """Append rows that already carry their load ids, many loads at once.
-
-    The rebalance hint lets Spark split a large load over several files and keep
-    small loads in one, whatever the share of a single load.
-    """
-    _create_if_missing(df, table)
-    _write_partitions(df.hint("rebalance", LOAD_ID), table)
-
-
-def _create_if_missing(df: DataFrame, table: str) -> None:
-    if not df.sparkSession.catalog.tableExists(table):
-        df.limit(0).write.partitionBy(LOAD_ID).saveAsTable(table)
-
-
-def _write_partitions(df: DataFrame, table: str) -> None:
-    known = df.sparkSession.table(table).columns
-    if sorted(known) != sorted(df.columns):
-        raise ValueError(f"{table} has columns {sorted(known)}, the load has {sorted(df.columns)}")
-    (df.select(*known).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").insertInto(table))
-
-
 def replace_load(df: DataFrame, table: str) -> None:
     """Drop the history: the table holds this extract only."""
     df.write.mode("overwrite").saveAsTable(table)

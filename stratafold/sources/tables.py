@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ def scan(names: Iterable[str], read: Callable[[str], DataFrame]) -> dict[str, Da
 
 
 def parquet_reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    """A reader of one folder; each table's schema is looked up once."""
+    return cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def jdbc_reader(spark: SparkSession, url: str, options: Mapping[str, str] | None = None,
