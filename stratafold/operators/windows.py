@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratafold.operators.joins import SPLITS, salted_join
+from stratafold.operators.joins import salted_join
 from stratafold.session import new_folder
 
 
@@ -23,9 +23,9 @@ def numbered(df: DataFrame, partition: Iterable[str], order: Iterable[str], name
     """
     spark = df.sparkSession
     partition, order = list(partition), list(order)
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(spark, "numbered")
-    (df.repartitionByRange(ranges, *partition, *order)
+    number = [ranges] if ranges else []  # else as many as the session's shuffles have
+    (df.repartitionByRange(*number, *partition, *order)
        .withColumn("_range", F.spark_partition_id())
        .write.parquet(folder))
     ranged = spark.read.parquet(folder)
@@ -48,11 +48,11 @@ def numbered(df: DataFrame, partition: Iterable[str], order: Iterable[str], name
     )
 
 
-def with_group_total(df: DataFrame, partition: Iterable[str], total, name: str,
-                     splits: int = SPLITS) -> DataFrame:
+def with_group_total(df: DataFrame, partition: Iterable[str], total: Column, name: str,
+                     **how_hot: int) -> DataFrame:
     """agg OVER (PARTITION BY partition): partial sums first, then joined back per group."""
     keys = list(partition)
     totals = df.groupBy(*[F.col(key).alias(f"_g{i}") for i, key in enumerate(keys)]).agg(
         total.alias(name))
     on = {key: f"_g{i}" for i, key in enumerate(keys)}
-    return salted_join(df, totals, on, "left", splits=splits)
+    return salted_join(df, totals, on, "left", **how_hot)

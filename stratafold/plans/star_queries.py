@@ -276,7 +276,7 @@ def lookup_conditional(spark, folder):
         .otherwise("WMO").alias("law"))
     codes = star_schema.source_reader(spark, folder)("abc_refcod")
     youth = F.col("law") == "JEUGDWET"
-    return joins.lookup_by_domain(lines, codes, F.col("code"), F.col("reason"), F.col("domein"), [
+    return joins.lookup_by_domain(lines, codes, {"reason": "code"}, "domein", [
         (youth, "JZG_REDEN_EINDE_PRODUCT"), (~youth, "WVRTEIND")])
 
 

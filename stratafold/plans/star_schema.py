@@ -36,7 +36,14 @@ def source_reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame
     """The source tables by name: lines are indications, their distinct (order, line) pairs
     are dossiers and payments."""
     read = parquet_reader(spark, folder)
-    dossier_no = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
+    dossier_no = (F.col("besluitnr") * 10 + F.col("volgnr_ind")).cast("string")
+
+    def per_dossier(**values):
+        # Keys are named and cast before grouping, so that later steps on them need no shuffle.
+        keyed = read("lineitem").withColumns({
+            "besluitnr": F.col("l_orderkey"), "volgnr_ind": F.col("l_linenumber").cast("bigint")})
+        return keyed.groupBy("besluitnr", "volgnr_ind").agg(
+            *[value.alias(name) for name, value in values.items()])
 
     def abc_refcod():
         return rows_frame(spark, CODES, "code string, domein string, omschrijving string")
@@ -54,8 +61,7 @@ def source_reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame
 
     def szukhis():
         amount = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
-        paid = read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-            amount.alias("bedrag"), F.max("l_partkey").alias("verslagnr"))
+        paid = per_dossier(bedrag=amount, verslagnr=F.max("l_partkey"))
         return paid.select(dossier_no.alias("uniekwvdos"), "bedrag", "verslagnr")
 
     def szwerker():
@@ -79,12 +85,9 @@ def source_reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame
         flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2) \
             .when(F.col("l_returnflag") == "R", 3)
         reason = choice("flag", {"1": "EINDE_JZG", "2": "EINDE_WMO", "3": "ONBEKEND"})
-        flagged = read("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-            F.min(flag).alias("flag"))
-        return flagged.select(
-            F.col("l_orderkey").alias("besluitnr"),
-            F.col("l_linenumber").cast("bigint").alias("volgnr_ind"),
-            dossier_no.alias("uniek"), reason.alias("kode_reden_einde_voorz"))
+        return per_dossier(flag=F.min(flag)).select(
+            "besluitnr", "volgnr_ind", dossier_no.alias("uniek"),
+            reason.alias("kode_reden_einde_voorz"))
 
     def wvind_b():
         end = F.date_add("l_shipdate", F.col("l_quantity").cast("int"))

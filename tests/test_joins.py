@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stratafold.functions.rows import rows_frame
 from stratafold.operators import joins
 from stratafold.operators.joins import (
-    fan_out, fan_out_counts, hot_keys, is_small, lookup_by_domain, lookup_join, orphans,
+    _spread, fan_out, fan_out_counts, hot_keys, is_small, lookup_by_domain, lookup_join, orphans,
     repeat_rows, salted_join, with_matches)
 
 
@@ -27,27 +28,35 @@ def right(spark):
     return spark.createDataFrame(data, "rk bigint, v string")
 
 
+SMALL = {"splits": 20, "hot_rows": 100}
+
+
 def test_hot_keys_are_found_and_bounded(skewed):
-    hot = hot_keys(skewed, ["k"], splits=20).collect()
-    assert 2 <= len(hot) <= 20  # key 7 and NULL, perhaps a few near the limit
-    assert max(r._splits for r in hot) == 7  # a third of 20 splits
-
-
-def test_salting_spreads_a_hot_key(skewed, right):
-    joined = salted_join(skewed, right, {"k": "rk"}, "left", splits=20)
-    plan = joined._jdf.queryExecution().analyzed().toString()
-    assert "_salt" in plan
-    hot = hot_keys(skewed, ["k"], 20)
-    salts = (skewed.where("k = 7").join(hot, F.xxhash64("k") == F.col("_hot"))
-             .groupBy(F.pmod(F.xxhash64("k", "s", "row"), F.col("_splits"))).count())
-    sizes = [r["count"] for r in salts.collect()]
+    hot = hot_keys(skewed, ["k"], **SMALL)
+    assert len(hot) == 2  # key 7 and NULL
+    assert max(parts for _, parts in hot) == 7  # a third of 20 splits
+    assert hot_keys(skewed, ["k"]) == []  # 1,000 rows fit one task
+    assert len(hot_keys(skewed, ["row"], splits=200, hot_rows=0)) <= 200
+
+
+def test_salting_spreads_a_hot_key(skewed, right, capsys):
+    salted_join(skewed, right, {"k": "rk"}, "left", **SMALL).explain()
+    assert "_salt" in capsys.readouterr().out
+    parts = rows_frame(skewed.sparkSession, hot_keys(skewed, ["k"], **SMALL), "_hot bigint, _splits int")
+    spread = _spread(skewed, ["k"], parts).where("k = 7").groupBy("_salt").count()
+    sizes = [r["count"] for r in spread.collect()]
     assert len(sizes) == 7 and max(sizes) < 2 * 1000 / 7
 
 
+def test_without_hot_keys_the_join_is_plain(skewed, right, capsys):
+    salted_join(skewed, right, {"k": "rk"}, "left").explain()
+    assert "_salt" not in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_a_plain_join(skewed, right, rows, how):
     plain = skewed.join(right, F.col("k") == F.col("rk"), how).drop("rk")
-    found = salted_join(skewed, right, {"k": "rk"}, how, splits=20)
+    found = salted_join(skewed, right, {"k": "rk"}, how, **SMALL)
     assert found.columns == plain.columns
     assert rows(found) == rows(plain)
 
@@ -55,13 +64,16 @@ def test_salted_join_equals_a_plain_join(skewed, right, rows, how):
 def test_salted_join_on_two_keys_of_the_same_name(skewed, rows):
     right = skewed.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
     plain = skewed.join(right, ["k", "s"], "left").select("k", "s", "row", "n")
-    found = salted_join(skewed, right, {"k": "k", "s": "s"}, "left", like=skewed, splits=20)
+    found = salted_join(skewed, right, {"k": "k", "s": "s"}, "left", like=skewed, **SMALL)
     assert rows(found) == rows(plain)
 
 
 def test_salted_join_refuses_keys_that_would_hash_differently(skewed, frame):
     with pytest.raises(ValueError, match="one type"):
         salted_join(skewed, frame([(7,)], "rk int"), {"k": "rk"}, "inner")
+    floats = frame([(0.0,)], "f double")
+    with pytest.raises(ValueError, match="not a float"):
+        salted_join(floats, floats, {"f": "f"}, "left_semi")
 
 
 @pytest.mark.parametrize("limit", [2, 1000])
@@ -79,12 +91,12 @@ def test_is_small(spark):
 def test_with_matches(skewed, right, rows):
     plain = skewed.join(right.groupBy("rk").count(), F.col("k") == F.col("rk"), "left")
     plain = plain.select("k", "s", "row", F.coalesce("count", F.lit(0)))
-    assert rows(with_matches(skewed, right, {"k": "rk"}, "n", splits=20)) == rows(plain)
+    assert rows(with_matches(skewed, right, {"k": "rk"}, "n", **SMALL)) == rows(plain)
 
 
 def test_fan_out_repeats_rows_like_a_left_join(skewed, right, rows):
     plain = skewed.join(right, F.col("k") == F.col("rk"), "left").select("k", "s", "row")
-    assert rows(fan_out(skewed, right, {"k": "rk"}, splits=20)) == rows(plain)
+    assert rows(fan_out(skewed, right, {"k": "rk"}, **SMALL)) == rows(plain)
 
 
 def test_fan_out_counts_form_no_pairs(skewed, right, rows, capsys):
@@ -99,14 +111,17 @@ def test_repeat_rows_in_blocks(frame):
     assert counts == {"a": 25_001, "c": 1, "d": 10_000}
 
 
-def test_lookup_by_domain(frame, rows, capsys):
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_lookup_by_domain(frame, rows, capsys, monkeypatch, limit):
+    monkeypatch.setattr(joins, "is_small", lambda df: is_small(df, limit))
+    monkeypatch.setattr(joins, "HOT_ROWS", 0)
     df = frame([(1, "C", "X"), (2, "C", "Y"), (3, "C", None), (4, "none", "X"), (5, None, "X")],
                "id int, reason string, law string")
     codes = frame([("C", "D1", "one"), ("C", "D2", "two"), ("C", "D2", "two again"), ("C", "D3", "x")],
                   "code string, domain string, text string")
     is_x = F.col("law") == "X"
-    found = lookup_by_domain(df, codes, F.col("code"), F.col("reason"), F.col("domain"),
-                             [(is_x, "D1"), (~is_x, "D2")])
+    found = lookup_by_domain(df, codes, {"reason": "code"}, "domain", [(is_x, "D1"), (~is_x, "D2")])
+    assert sorted(found.columns) == ["code", "domain", "id", "law", "reason", "text"]
     assert rows(found, "id", "text") == [
         (1, "one"), (2, "two"), (2, "two again"), (3, None), (4, None), (5, None)]
     found.explain()
@@ -117,4 +132,4 @@ def test_lookup_by_domain(frame, rows, capsys):
 def test_orphans(skewed, frame, rows):
     parents = frame([(k,) for k in list(range(0, 400, 2)) + [0, 0, None]], "id bigint")
     plain = skewed.where("k % 2 = 1").select("k", "s", "row")
-    assert rows(orphans(skewed, "k", parents, "id", splits=20)) == rows(plain)
+    assert rows(orphans(skewed, "k", parents, "id", **SMALL)) == rows(plain)

@@ -6,6 +6,7 @@ from datetime import date
 import duckdb
 import pytest
 
+from stratafold.operators import joins
 from stratafold.operators.audits import summarise
 from stratafold.operators.conformance import conforms, schema_diff, schema_rows
 from stratafold.plans import contracts, oracle
@@ -126,8 +127,12 @@ def messy_rows():
     }
 
 
+@pytest.mark.parametrize("hot_rows", [None, 0, 20])
 @pytest.mark.parametrize("table", ["beschikte_voorziening", "declaratieregel"])
-def test_joins_with_repeated_and_missing_keys(spark, table):
+def test_joins_with_repeated_and_missing_keys(spark, table, hot_rows, monkeypatch):
+    if hot_rows is not None:  # every key, or the larger ones, spread over tasks
+        monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(joins, "is_small", lambda df: False)
     data = messy_rows()
     names, want = expected(data, table)
     found = [tuple(r) for r in built(spark, data)(f"silver.{table}").select(*names).collect()]
