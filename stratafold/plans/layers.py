@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratafold.plans.models import Model
 from stratafold.sources.raw import append_load, load_ids
+from stratafold.sources.tables import row_limit
 
 LAYERS = ("raw", "stg", "silver")
 _FINGERPRINT = "stratafold.definition"
@@ -154,14 +155,14 @@ def _build(layers: Layers, model: Model) -> None:
 
 
 def ingest(layers: Layers, sources: Mapping[str, DataFrame], load_id: str,
-           load_time: datetime | str, limit: Callable[[DataFrame], DataFrame] | None = None,
+           load_time: datetime | str, max_rows: int | None = None,
            dry_run: bool = False) -> list[Step]:
-    """Append every source table to the raw layer as one load."""
+    """Append every source table to the raw layer as one load, ``max_rows`` of each if given."""
 
     def load(name: str, df: DataFrame) -> Step:
         rows = None
         if not dry_run:
-            rows = append_load(limit(df) if limit else df, layers.qualified(f"raw.{name}"),
+            rows = append_load(row_limit(df, max_rows), layers.qualified(f"raw.{name}"),
                                load_id, load_time)
         return Step(f"raw.{name}", "load", load_id, rows)
 
@@ -170,11 +171,11 @@ def ingest(layers: Layers, sources: Mapping[str, DataFrame], load_id: str,
 
 def run(layers: Layers, sources: Mapping[str, DataFrame], models: Iterable[Model], load_id: str,
         load_time: datetime | str, skip_ingest: bool = False, skip_transform: bool = False,
-        restate: bool = True, dry_run: bool = False) -> list[Step]:
+        restate: bool = True, dry_run: bool = False, max_rows: int | None = None) -> list[Step]:
     """Ingest, then transform; the first failure ends the run. Nothing to do gives no step."""
     steps: list[Step] = []
     if not skip_ingest:
-        steps += ingest(layers, sources, load_id, load_time, dry_run=dry_run)
+        steps += ingest(layers, sources, load_id, load_time, max_rows, dry_run)
     if not skip_transform:
         steps += refresh(layers, models, restate, dry_run)
     return steps

@@ -29,8 +29,8 @@ def jdbc_reader(spark: SparkSession, url: str, options: Mapping[str, str] | None
     """
 
     def read(name: str) -> DataFrame:
-        return spark.read.format("jdbc").options(
-            **jdbc_options(url, name, options, (split or {}).get(name))).load()
+        given = jdbc_options(url, name, options, (split or {}).get(name))
+        return lower_names(spark.read.format("jdbc").options(**given).load())
 
     return read
 
@@ -45,6 +45,11 @@ def jdbc_options(url: str, table: str, options: Mapping[str, str] | None = None,
     return merged
 
 
+def lower_names(df: DataFrame) -> DataFrame:
+    """Column names as the raw contracts have them."""
+    return df.toDF(*[name.lower() for name in df.columns])
+
+
 def row_limit(df: DataFrame, rows: int | None, order_by: Iterable[str | Column] = ()) -> DataFrame:
     """At most ``rows`` rows (None: all); give an order when the choice must be stable."""
     if rows is None:
@@ -65,8 +70,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     """
     reader = spark.read.options(**_CSV_OPTIONS)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    df = reader.csv(path)
-    return df.toDF(*[name.lower() for name in df.columns])
+    return lower_names(reader.csv(path))
 
 
 def read_csv_folder(spark: SparkSession, folder: str,

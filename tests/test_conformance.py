@@ -137,3 +137,16 @@ def test_many_tables_and_columns(spark, empty):
     tables = {f"t{i}": frames["t0"] for i in range(100)} | {"wide": frames["wide"]}
     status, models, stored = check(spark, [*contracts, wide], tables)
     assert len(status) == 500 and models and stored
+
+
+def test_model_columns_come_from_the_frame_also_for_unions_stars_and_clocks(spark, frame):
+    t = frame([(1, "x")], "id int, name string")
+    union = spark.sql("SELECT id AS record_id, 'A' AS source FROM {t} UNION ALL "
+                      "SELECT id, 'B' FROM {t}", t=t)
+    star = spark.sql("SELECT t.*, 'constant' AS extra_col FROM {t} t", t=t)
+    clock = spark.sql("SELECT CURRENT_DATE AS today, CURRENT_TIMESTAMP AS now FROM {t}", t=t)
+    found = schema_rows(spark, {"u": union, "s": star, "c": clock}).collect()
+    assert [(r.table_name, r.column_name, r.canonical_type) for r in found] == [
+        ("u", "record_id", "INTEGER"), ("u", "source", "VARCHAR"),
+        ("s", "id", "INTEGER"), ("s", "name", "VARCHAR"), ("s", "extra_col", "VARCHAR"),
+        ("c", "today", "DATE"), ("c", "now", "DATE")]

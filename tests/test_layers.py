@@ -74,6 +74,12 @@ def test_run_switches(layers, frame):
     assert layers.tables("stg") == ["t"] and layers.table("raw.t").count() == 1
 
 
+def test_row_limit_of_a_run(layers, spark):
+    source = {"t": spark.range(50).selectExpr("id AS a", "id AS b")}
+    steps = run(layers, source, models(), "L1", WHEN, max_rows=7)
+    assert steps[0].rows == 7 and layers.table("silver.t").count() == 7
+
+
 def test_the_first_failure_ends_the_run(layers, frame):
     def broken(table):
         raise RuntimeError("no such column")

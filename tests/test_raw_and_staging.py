@@ -99,6 +99,10 @@ def test_jdbc_options():
     assert split["partitionColumn"] == "id" and split["numPartitions"] == "8" and split["user"] == "u"
 
 
+def test_lower_names(frame):
+    assert tables.lower_names(frame([(1, 2)], "ID int, Some_Name int")).columns == ["id", "some_name"]
+
+
 def test_csv_folder(spark, frame, tmp_path, rows):
     (tmp_path / "b.csv").write_text("KEY,Begin,Amount\n1,2024-01-02T00:00:00,2.5\n")
     sinks.write_csv(frame([(1, "x")], "ID int, Name string"), f"{tmp_path}/a.csv")
