@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -81,3 +82,15 @@ def sampled_splits(df: DataFrame, key: str, parts: int, per_part: int = 32) -> l
     values = np.sort(np.array([least, *(r[0] for r in picked.collect())], dtype=np.int64))
     at = np.arange(parts) * len(values) // parts
     return sorted({int(v) for v in values[at]})
+
+
+def range_index(splits: list[int]):
+    """A function of a whole-number column: which of the ranges that start at the splits it is in."""
+    starts = np.array(splits, np.int64)
+
+    @F.pandas_udf("int")
+    def index(keys: pd.Series) -> pd.Series:
+        at = np.searchsorted(starts, keys.to_numpy(np.int64), "right") - 1
+        return pd.Series(np.maximum(at, 0).astype(np.int32))
+
+    return index
