@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 # Canonical type -> type names that compare equal to it, any engine.
 GENERIC = {
-    "INTEGER": "INT BIGINT SMALLINT TINYINT MEDIUMINT SERIAL BIGSERIAL",
-    "VARCHAR": "TEXT CHAR NVARCHAR NCHAR VARCHAR2 CLOB NCLOB LONGTEXT MEDIUMTEXT TINYTEXT",
-    "DECIMAL": "NUMERIC DOUBLE FLOAT REAL MONEY SMALLMONEY NUMBER",
-    "DATE": "TIMESTAMP DATETIME DATETIME2 TIME TIMESTAMPTZ",
+    "INTEGER": ["INT", "BIGINT", "SMALLINT", "TINYINT", "MEDIUMINT", "SERIAL", "BIGSERIAL"],
+    "VARCHAR": ["TEXT", "CHAR", "NVARCHAR", "NCHAR", "VARCHAR2", "CLOB", "NCLOB", "LONGTEXT",
+                "MEDIUMTEXT", "TINYTEXT"],
+    "DECIMAL": ["NUMERIC", "DOUBLE", "FLOAT", "REAL", "MONEY", "SMALLMONEY", "NUMBER"],
+    "DATE": ["TIMESTAMP", "DATETIME", "DATETIME2", "TIME", "TIMESTAMPTZ"],
 }
 
 # What each engine's catalog reports beyond the generic names.
@@ -55,7 +56,7 @@ BY_ENGINE = {
     },
 }
 
-_GENERIC_LOOKUP = {name: canonical for canonical, names in GENERIC.items() for name in names.split()}
+_GENERIC_LOOKUP = {name: canonical for canonical, names in GENERIC.items() for name in names}
 _ENGINE_LOOKUP = {
     engine: {name: canonical for canonical, names in groups.items() for name in names}
     for engine, groups in BY_ENGINE.items()
@@ -69,16 +70,24 @@ def alias_map(engine: str | None = None) -> dict[str, str]:
     return {**_GENERIC_LOOKUP, **_ENGINE_LOOKUP[engine]}
 
 
+# A declared type: its name (any DOUBLE is one name), then arguments or other qualifiers.
+_TYPE = re.compile(r"\s*(?P<name>DOUBLE|[^(]*?)(?:(?<=DOUBLE)[^(]*)?\s*"
+                   r"(?P<args>\(\s*(?P<first>\d+)?\s*(?:,\s*(?P<second>\d+)\s*)?.*)?", re.I | re.S)
+
+
+def _declared(raw: str) -> re.Match:
+    return _TYPE.fullmatch(raw)
+
+
 def canonical_type(raw: str | None, engine: str | None = None) -> str:
-    """Canonical name of one type name; unknown names come back upper-cased."""
+    """Canonical name of one type name; unknown names come back upper-cased.
+
+    What an engine's catalog reports is looked up as it stands, before the generic names.
+    """
     if raw is None:
         return "UNKNOWN"
-    if engine and raw.upper() in _ENGINE_LOOKUP[engine]:
-        return _ENGINE_LOOKUP[engine][raw.upper()]
-    base = raw.upper().split("(")[0].strip()
-    if base.startswith("DOUBLE"):
-        base = "DOUBLE"
-    return _GENERIC_LOOKUP.get(base, base)
+    name = _declared(raw)["name"].upper()
+    return alias_map(engine).get(raw.upper()) or _GENERIC_LOOKUP.get(name, name)
 
 
 def canonical_type_column(raw: Column, engine: str | None = None) -> Column:
@@ -109,32 +118,43 @@ _SPARK_TYPES = {
     "BOOLEAN": T.BooleanType(), "BOOL": T.BooleanType(), "BIT": T.BooleanType(),
 }
 _TEXT_NAMES = {"VARCHAR", "CHARACTER VARYING", "STRING", "TIME", "UUID", "UNIQUEIDENTIFIER",
-               "JSON", "JSONB", "ENUM", *GENERIC["VARCHAR"].split()}
+               "JSON", "JSONB", "ENUM", *GENERIC["VARCHAR"]}
 _BINARY_NAMES = {"BLOB", "BYTEA", "BINARY", "VARBINARY", "IMAGE", "TINYBLOB", "MEDIUMBLOB",
                  "LONGBLOB", "GEOMETRY"}
 _DECIMAL_NAMES = {"DECIMAL", "NUMERIC", "NUMBER"}
-_TYPE = re.compile(r"\s*([A-Za-z0-9_ ]+?)\s*(?:\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\))?\s*$")
+#: Names that only one engine has, by what they hold there.
+_ENGINE_TYPES = {
+    "INT2": T.ShortType(), "INT4": T.IntegerType(), "INT8": T.LongType(), "HUGEINT": T.DecimalType(38, 0),
+    "UTINYINT": T.ShortType(), "USMALLINT": T.IntegerType(), "UINTEGER": T.LongType(),
+    "UBIGINT": T.DecimalType(20, 0), "FLOAT4": T.FloatType(), "FLOAT8": T.DoubleType(),
+    "YEAR": T.ShortType(), "DATETIMEOFFSET": T.TimestampType(), "TIMESTAMP_LTZ": T.TimestampType(),
+    "TIME WITHOUT TIME ZONE": T.StringType(), "TIME WITH TIME ZONE": T.StringType(), "TIMETZ": T.StringType(),
+}
+_BY_CANONICAL = {"VARCHAR": T.StringType(), "DATE": T.TimestampNTZType(), "BOOLEAN": T.BooleanType(),
+                 "JSON": T.StringType(), "UUID": T.StringType(), "BINARY": T.BinaryType()}
+_ANY_ENGINE = {name: canonical for names in _ENGINE_LOOKUP.values() for name, canonical in names.items()}
 
 
 def spark_type(raw: str) -> T.DataType:
     """The Spark type a declared column is cast to; text lengths live in the contract."""
-    match = _TYPE.match(raw)
-    name = match.group(1).upper() if match else raw.upper()
-    if name in _SPARK_TYPES:
-        return _SPARK_TYPES[name]
+    found = _declared(raw)
+    name = " ".join(found["name"].upper().split())
+    if name in _DECIMAL_NAMES:
+        precision, scale = found["first"], found["second"]
+        return T.DecimalType(int(precision or 38), int(scale or (0 if precision else 10)))
     if name in _TEXT_NAMES:
         return T.StringType()
     if name in _BINARY_NAMES:
         return T.BinaryType()
-    if name in _DECIMAL_NAMES:
-        precision, scale = match.group(2), match.group(3)
-        return T.DecimalType(int(precision or 38), int(scale or (0 if precision else 10)))
-    raise ValueError(f"no Spark type for declared type {raw!r}")
+    kind = _SPARK_TYPES.get(name) or _ENGINE_TYPES.get(name) or _BY_CANONICAL.get(_ANY_ENGINE.get(name))
+    if kind is None:
+        raise ValueError(f"no Spark type for declared type {raw!r}")
+    return kind
 
 
 def declared_length(raw: str) -> int | None:
-    """n of VARCHAR(n) and its relatives, else None."""
-    match = _TYPE.match(raw)
-    if match and match.group(2) and canonical_type(raw) == "VARCHAR":
-        return int(match.group(2))
-    return None
+    """n of VARCHAR(n) and its relatives in any engine, else None."""
+    found = _declared(raw)
+    name = " ".join(found["name"].upper().split())
+    text = "VARCHAR" in (name, _GENERIC_LOOKUP.get(name), _ANY_ENGINE.get(name))
+    return int(found["first"]) if text and found["first"] else None

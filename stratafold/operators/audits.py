@@ -1,6 +1,6 @@
 """Non-blocking data-quality checks: each returns the violating rows of a table.
 
-``summarise`` runs a whole suite: keys, nulls and lengths of a table share one scan
+``summarise`` runs a whole suite: the key, nulls and lengths of a table share one scan
 and one shuffle, orphans are counted per distinct reference value.
 """
 
@@ -78,7 +78,10 @@ def audits_for(contract: TableContract, parents: Mapping[str, str] | None = None
     for reference in contract.references:
         parent = (targets or {}).get(reference.column, reference.table)
         if parent in (parents or {}):
-            audits.append(Audit(table, f"assert_fk_{table}_{parent}", "fk_orphan",
+            name = f"assert_fk_{table}_{parent}"
+            if any(a.name == name for a in audits):  # a second reference to the same parent
+                name += f"_{reference.column}"
+            audits.append(Audit(table, name, "fk_orphan",
                                 reference.column, parent=(parent, parents[parent])))
     return audits
 
@@ -95,26 +98,33 @@ def _unpivot(df: DataFrame, rows: list) -> DataFrame:
     return df.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
-def _table_counts(df: DataFrame, audits: list[Audit]) -> DataFrame:
-    """Nulls, duplicates and over-long values of one table: one scan, one shuffle on the key."""
+def _table_counts(df: DataFrame, audits: list[Audit]) -> list[DataFrame]:
+    """Nulls, duplicates and over-long values of one table.
+
+    One grouping for each distinct key; the first also carries the nulls and lengths, so a
+    table with one key takes one scan and one shuffle.
+    """
     zero = F.lit(0).cast("bigint")
-    keys = sorted({key for a in audits if a.kind in ("pk_not_null", "pk_unique")
-                   for key in a.column.split(", ")})
-    too_long = {
-        f"long_{i}": F.count_if(F.length(F.col(a.column).cast("string")) > a.limit)
-        for i, a in enumerate(audits) if a.kind == "max_length"
+    key_sets = list(dict.fromkeys(
+        tuple(sorted(a.column.split(", "))) for a in audits if a.kind == "pk_unique"))
+    counts = {
+        i: F.count_if(F.col(a.column).isNull() if a.kind == "pk_not_null"
+                      else F.length(F.col(a.column).cast("string")) > a.limit)
+        for i, a in enumerate(audits) if a.kind != "pk_unique"
     }
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cnt"), *[v.alias(n) for n, v in too_long.items()])
-    metrics = {
-        **{f"null_{key}": F.sum(F.when(F.col(key).isNull(), F.col("cnt"))) for key in keys},
-        "repeated": F.count_if(F.col("cnt") > 1),
-        **{name: F.sum(name) for name in too_long},
-    }
-    counted = per_key.agg(*[F.coalesce(v, zero).alias(n) for n, v in metrics.items()])
-    names = {"pk_not_null": lambda i, a: f"null_{a.column}", "pk_unique": lambda i, a: "repeated",
-             "max_length": lambda i, a: f"long_{i}"}
-    return _unpivot(counted, [_row(a, F.col(names[a.kind](i, a))) for i, a in enumerate(audits)])
+    parts = []
+    for at, keys in enumerate(key_sets or [()]):
+        carried = counts if at == 0 else {}
+        per_key = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("cnt"), *[v.alias(f"n_{i}") for i, v in carried.items()])
+        counted = per_key.agg(
+            F.count_if(F.col("cnt") > 1).alias("repeated"),
+            *[F.coalesce(F.sum(f"n_{i}"), zero).alias(f"n_{i}") for i in carried])
+        own = [a for a in audits if a.kind == "pk_unique"
+               and tuple(sorted(a.column.split(", "))) == keys]
+        parts.append(_unpivot(counted, [_row(a, F.col("repeated")) for a in own]
+                              + [_row(audits[i], F.col(f"n_{i}")) for i in carried]))
+    return parts
 
 
 def _orphan_count(audit: Audit, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -137,7 +147,7 @@ def summarise(tables: Mapping[str, DataFrame], audits: Iterable[Audit]) -> DataF
     for table in dict.fromkeys(a.table for a in audits):
         own = [a for a in audits if a.table == table and a.kind != "fk_orphan"]
         if own:
-            parts.append(_table_counts(tables[table], own))
+            parts += _table_counts(tables[table], own)
     parts += [_orphan_count(a, tables) for a in audits if a.kind == "fk_orphan"]
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("violations") == 0)
 

@@ -1,158 +1,74 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+All of them are plain equi-joins whose left side Spark's adaptive execution can split: it
+measures the shuffled bytes of every part when the join runs, splits those a hot key has
+swollen (equal rows too), and broadcasts a right side that proves small. So nothing is
+looked at while a frame is built, and no size switch changes a result.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
-from stratafold.functions.rows import rows_frame
-
-SMALL_ROWS = 10_000
-HOT_ROWS = 100_000
-_MOST_SPLITS = 10_000
-_TRACKED_PER_SPLIT = 10
+_KINDS = ("inner", "left", "left_semi", "left_anti")
 _REPEAT_BLOCK = 10_000
 
 
-def shuffle_splits(spark: SparkSession) -> int:
-    """The parts a shuffle has: a key beyond one part's share of the rows is too large for it."""
-    return min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 200), _MOST_SPLITS)
-
-
-def hot_keys(df: DataFrame, keys: Iterable[str], splits: int | None = None,
-             hot_rows: int | None = None) -> list[tuple[int, int]]:
-    """Hashes of the keys with more than 1/``splits`` of the rows, each with its number of parts.
-
-    Runs one map-side sketch over the key columns, without a shuffle of the keys, and
-    brings back at most ``splits`` pairs. Keys below ``hot_rows`` rows fit one task and
-    are left out. The sketch only steers how rows are spread, not what a join returns.
-    """
-    splits = splits or shuffle_splits(df.sparkSession)
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    sketch = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {splits}, {splits * _TRACKED_PER_SPLIT})").alias("top"),
-             F.count(F.lit(1)).alias("rows"))
-    )
-    share = F.col("key.count") * splits / F.col("rows")
-    found = (
-        sketch.select(F.explode("top").alias("key"), "rows")
-        .where((share > 1) & (F.col("key.count") >= hot_rows))
-        .select("key.item", F.ceil(share).cast("int"))
-    )
-    return [tuple(row) for row in found.collect()]
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str,
-                like: DataFrame | None = None, residual: Column | None = None,
-                splits: int | None = None, hot_rows: int | None = None) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str,
+               residual: Column | None = None, null_safe: bool = False) -> DataFrame:
     """Equi-join (inner, left, left_semi or left_anti) on {left column: right column}.
 
-    Rows of a hot left key are spread over several tasks by a hash of the row, and
-    the right rows of that key are repeated once per task, so every left row meets
-    every right row of its key exactly once. Without hot keys it is a plain join.
-    Right key columns are dropped. ``like`` is a cheaper frame with the same key
-    shares as ``left``; ``residual`` is a further condition.
+    Right key columns are dropped. ``residual`` is a further condition; with ``null_safe``
+    NULL keys match each other. Other kinds are refused: only the left side's hot keys can
+    be split in all four. Keys of two types compare as Spark compares the types.
     """
-    lkeys = list(on)
-    for lkey, rkey in on.items():
-        kind = left.schema[lkey].dataType
-        if kind != right.schema[rkey].dataType or isinstance(kind, (T.FloatType, T.DoubleType)):
-            raise ValueError(f"cast {lkey} and {rkey} to one type, not a float: "
-                             "equal keys must hash alike")
-    renamed = [f"_r{i}" for i in range(len(on))]
-    rest = [name for name in right.columns if name not in on.values()]
-    right = right.select(*rest, *[F.col(key).alias(r) for key, r in zip(on.values(), renamed)])
-    match = F.lit(True) if residual is None else residual
-    for lkey, r in zip(lkeys, renamed):
-        match = match & (F.col(lkey) == F.col(r))
-
-    # The list is fixed before the join is planned: both sides must use the same parts.
-    hot = hot_keys(left if like is None else like, lkeys, splits, hot_rows)
-    if hot:
-        parts = F.broadcast(rows_frame(left.sparkSession, hot, "_hot bigint, _splits int"))
-        left, right = _spread(left, lkeys, parts), _repeated(right, renamed, parts)
-        match = match & (F.col("_salt") == F.col("_rsalt"))
-    return left.join(right, match, how).drop("_salt", "_rsalt", *renamed)
-
-
-def _spread(left: DataFrame, keys: list[str], parts: DataFrame) -> DataFrame:
-    """A part number for each row of a hot key, by the row's content; 0 for all others.
-
-    Content, not a random number: a task that runs again must send its rows to the same places.
-    """
-    content = [f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    part = F.pmod(F.xxhash64(*content), F.col("_splits")).cast("int")
-    return (
-        left.withColumn("_hash", F.xxhash64(*keys))
-        .join(parts, F.col("_hash") == F.col("_hot"), "left")
-        .withColumn("_salt", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(part))
-        .drop("_hash", "_hot", "_splits")
-    )
-
-
-def _repeated(right: DataFrame, keys: list[str], parts: DataFrame) -> DataFrame:
-    """Each row of a hot key once per part."""
-    copies = F.when(F.col("_splits").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("_splits") - 1))
-    return (
-        right.withColumn("_hash", F.xxhash64(*keys))
-        .join(parts, F.col("_hash") == F.col("_hot"), "left")
-        .withColumn("_rsalt", F.explode(copies))
-        .drop("_hash", "_hot", "_splits")
-    )
-
-
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether the frame has at most ``rows`` rows; looks at no more than one row beyond."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str,
-                bound: DataFrame | None = None, like: DataFrame | None = None,
-                residual: Column | None = None) -> DataFrame:
-    """Join to a reference table: broadcast once its size is checked, else salted.
-
-    ``bound`` is a frame with at least as many rows as ``right`` that is cheaper to count.
-    """
-    if not is_small(right if bound is None else bound):
-        return salted_join(left, right, on, how, like, residual)
+    if how not in _KINDS:
+        raise ValueError(f"join kind {how!r} is not one of {_KINDS}")
     renamed = {key: f"_r{i}" for i, key in enumerate(on.values())}
+    rest = [name for name in right.columns if name not in renamed]
+    right = right.select(*rest, *[F.col(key).alias(r) for key, r in renamed.items()])
     match = F.lit(True) if residual is None else residual
     for lkey, rkey in on.items():
-        match = match & (F.col(lkey) == F.col(renamed[rkey]))
-    keyed = F.broadcast(right.withColumnsRenamed(renamed))
-    return left.join(keyed, match, how).drop(*renamed.values())
+        one, other = F.col(lkey), F.col(renamed[rkey])
+        match = match & (one.eqNullSafe(other) if null_safe else one == other)
+    return left.join(right, match, how).drop(*renamed.values())
 
 
-def with_matches(left: DataFrame, right: DataFrame, on: Mapping[str, str], matches: str,
-                 like: DataFrame | None = None, **how_hot: int) -> DataFrame:
+def with_matches(left: DataFrame, right: DataFrame, on: Mapping[str, str], matches: str) -> DataFrame:
     """Left rows with the number of right rows of their key, without forming the pairs."""
     keys = list(dict.fromkeys(on.values()))
     counted = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(matches))
-    joined = salted_join(left, counted, on, "left", like, **how_hot)
+    joined = keyed_join(left, counted, on, "left")
     return joined.withColumn(matches, F.coalesce(F.col(matches), F.lit(0).cast("bigint")))
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times (a column, dropped), in blocks so that no array grows large."""
+    """Each row ``times`` times (a column, dropped).
+
+    Copies are made in blocks, and the blocks are dealt out before their copies are made, so
+    that no array grows large and the copies of one row come from many tasks.
+    """
     last_block = F.floor((F.col(times) - 1) / _REPEAT_BLOCK)
     in_block = F.least(F.lit(_REPEAT_BLOCK).cast("bigint"),
                        F.col(times) - F.col("_block") * _REPEAT_BLOCK)
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    content = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.where(F.col(times) > 0)
         .withColumn("_block", F.explode(F.sequence(zero, last_block)))
+        .repartition(parts, *content, "_block")
         .withColumn("_copy", F.explode(F.sequence(one, in_block)))
         .drop(times, "_block", "_copy")
     )
 
 
-def fan_out(left: DataFrame, right: DataFrame, on: Mapping[str, str], **how_hot: int) -> DataFrame:
+def fan_out(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Left join whose right side is not selected: it only repeats the left rows."""
-    matched = with_matches(left, right, on, "_matches", **how_hot)
+    matched = with_matches(left, right, on, "_matches")
     return repeat_rows(
         matched.withColumn("_matches", F.greatest("_matches", F.lit(1).cast("bigint"))), "_matches")
 
@@ -170,15 +86,15 @@ def lookup_by_domain(df: DataFrame, codes: DataFrame, on: Mapping[str, str], dom
     for condition, name in rules:
         fits = fits | (condition & (F.col(domain) == F.lit(name)))
     kept = codes.withColumns({f"_{code}": F.col(code) for code in on.values()})
-    joined = lookup_join(df, kept, on, "left", residual=fits)
+    joined = keyed_join(df, kept, on, "left", residual=fits)
     return joined.withColumnsRenamed({f"_{code}": code for code in on.values()})
 
 
-def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, **how_hot: int) -> DataFrame:
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose reference is set but names no parent."""
     keys = parent.select(F.col(pk).alias("_parent")).distinct()
     filled = child.where(F.col(fk).isNotNull())
-    return salted_join(filled, keys, {fk: "_parent"}, "left_anti", **how_hot)
+    return keyed_join(filled, keys, {fk: "_parent"}, "left_anti")
 
 
 def fan_out_counts(left: DataFrame, right: DataFrame, on: Mapping[str, str],

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratafold.operators.joins import salted_join
+from stratafold.operators.joins import keyed_join
 from stratafold.session import new_folder
 
 
@@ -17,15 +17,16 @@ def numbered(df: DataFrame, partition: Iterable[str], order: Iterable[str], name
 
     The rows are ranged over (partition, order), so a large group spans many tasks;
     each range is numbered on its own and shifted by the rows of its group in
-    earlier ranges. The ranged rows are written once, because their range numbers
-    must be the same for counting and numbering. Add a unique column to ``order``
-    when ties must be stable.
+    earlier ranges. Ties are ordered by a hash of the row, so they span ranges as well.
+    The ranged rows are written once, because their range numbers must be the same for
+    counting and numbering.
     """
     spark = df.sparkSession
     partition, order = list(partition), list(order)
     folder = new_folder(spark, "numbered")
     number = [ranges] if ranges else []  # else as many as the session's shuffles have
-    (df.repartitionByRange(*number, *partition, *order)
+    (df.withColumn("_tie", F.xxhash64(*df.columns))
+       .repartitionByRange(*number, *partition, *order, "_tie")
        .withColumn("_range", F.spark_partition_id())
        .write.parquet(folder))
     ranged = spark.read.parquet(folder)
@@ -41,18 +42,20 @@ def numbered(df: DataFrame, partition: Iterable[str], order: Iterable[str], name
     same = F.col("_range") == F.col("_r")
     for i, key in enumerate(partition):
         same = same & F.col(key).eqNullSafe(F.col(f"_p{i}"))
-    local = F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*order))
+    local = F.row_number().over(Window.partitionBy(*partition, "_range").orderBy(*order, "_tie"))
     return (
         ranged.withColumn("_local", local).join(shifts, same)
         .select(*df.columns, (F.col("_local") + F.col("_shift")).alias(name))
     )
 
 
-def with_group_total(df: DataFrame, partition: Iterable[str], total: Column, name: str,
-                     **how_hot: int) -> DataFrame:
-    """agg OVER (PARTITION BY partition): partial sums first, then joined back per group."""
+def with_group_total(df: DataFrame, partition: Iterable[str], total: Column, name: str) -> DataFrame:
+    """agg OVER (PARTITION BY partition): partial sums first, then joined back per group.
+
+    Rows whose group is NULL are one group, as in a window.
+    """
     keys = list(partition)
     totals = df.groupBy(*[F.col(key).alias(f"_g{i}") for i, key in enumerate(keys)]).agg(
         total.alias(name))
     on = {key: f"_g{i}" for i, key in enumerate(keys)}
-    return salted_join(df, totals, on, "left", **how_hot)
+    return keyed_join(df, totals, on, "left", null_safe=True)

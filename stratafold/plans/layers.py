@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Mapping
+import re
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 from typing import TypeVar
@@ -101,10 +103,30 @@ class Step:
 
 
 def _definition(model: Model, df: DataFrame) -> str:
-    text = f"{model.version}|{','.join(model.reads)}|{df.schema.simpleString()}"
+    """A digest of what the model computes: its analysed plan, with columns numbered anew.
+
+    The rows of a partition list are left out: a new load does not change the model.
+    """
+    plan = df._jdf.queryExecution().analyzed().toString()
+    plan = re.sub(r"(CommandResult \[[^\n]*?Execute \w+)[^\n]*", r"\1", plan)
+    numbers: dict[str, str] = {}
+    plan = re.sub(r"(?<=[#=])\d+", lambda m: numbers.setdefault(m[0], str(len(numbers))), plan)
+    text = f"{model.version}|{','.join(model.reads)}|{df.schema.simpleString()}|{plan}"
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+@contextmanager
+def _whole_plans(spark: SparkSession) -> Iterator[None]:
+    """Plans with all their columns spelled out, so that none is left out of a digest."""
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "100000")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def refresh(layers: Layers, models: Iterable[Model], restate: bool = True,
             dry_run: bool = False) -> list[Step]:
     """Build the models in their given order and say what was done.
@@ -114,6 +136,11 @@ def refresh(layers: Layers, models: Iterable[Model], restate: bool = True,
     this call, so new loads stay unseen. A dry run only reports; there a model whose
     sources do not exist yet counts as new.
     """
+    with _whole_plans(layers.spark):
+        return _refresh(layers, models, restate, dry_run)
+
+
+def _refresh(layers: Layers, models: Iterable[Model], restate: bool, dry_run: bool) -> list[Step]:
     steps: list[Step] = []
     rebuilt: set[str] = set()
     for wave in _waves(models):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stratafold.contract import TableContract
 from stratafold.functions.values import concat_key, parse_date
 from stratafold.operators.conform import conform
-from stratafold.operators.joins import lookup_join, repeat_rows, salted_join, with_matches
+from stratafold.operators.joins import keyed_join, repeat_rows, with_matches
 from stratafold.operators.latest import staging
 from stratafold.plans import contracts
 from stratafold.sources.raw import LOAD_ID, LOAD_TIME
@@ -95,21 +95,18 @@ def provision(table: Lookup, contract: TableContract) -> DataFrame:
         return F.greatest(F.coalesce(F.col(column), zero), one)
 
     dossiers = (
-        lookup_join(
+        keyed_join(
             table("stg.wvdos").select("besluitnr", "volgnr_ind", "kode_reden_einde_voorz"),
-            codes, {"kode_reden_einde_voorz": "reason"}, "left", bound=table("stg.abc_refcod"))
+            codes, {"kode_reden_einde_voorz": "reason"}, "left")
         .groupBy(F.col("besluitnr").alias("d_besluitnr"), F.col("volgnr_ind").alias("d_volgnr"))
         .agg(F.sum(at_least_one("youth_codes")).alias("as_youth"),
              F.sum(at_least_one("other_codes")).alias("as_other"),
              F.count(F.lit(1)).alias("as_unnamed"))
     )
     indications = table("stg.wvind_b").drop("clientnr", LOAD_ID)
-    rows = lookup_join(indications, laws, {"kode_regeling": "law"}, "left",
-                       bound=table("stg.szregel"), like=indications)
-    rows = salted_join(rows, dossiers, {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"},
-                       "left", like=indications)
-    rows = with_matches(rows, table("stg.wvbesl"), {"besluitnr": "besluitnr"}, "decisions",
-                        like=indications)
+    rows = keyed_join(indications, laws, {"kode_regeling": "law"}, "left")
+    rows = keyed_join(rows, dossiers, {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "left")
+    rows = with_matches(rows, table("stg.wvbesl"), {"besluitnr": "besluitnr"}, "decisions")
     matched = F.when(F.col("youth").isNull(), at_least_one("as_unnamed")).otherwise(
         F.col("youth") * at_least_one("as_youth") + F.col("other") * at_least_one("as_other")
         + F.col("unnamed") * at_least_one("as_unnamed"))
@@ -141,8 +138,8 @@ def claim_line(table: Lookup, contract: TableContract) -> DataFrame:
         F.col("uniek").cast("string").alias("uniek"), F.col("besluitnr").alias("d_besluitnr"),
         F.col("volgnr_ind").alias("d_volgnr"))
     indications = table("stg.wvind_b").select("besluitnr", "volgnr_ind", "clientnr")
-    paid = salted_join(payments, dossiers, {"uniekwvdos": "uniek"}, "inner")
-    rows = salted_join(indications, paid,
+    paid = keyed_join(payments, dossiers, {"uniekwvdos": "uniek"}, "inner")
+    rows = keyed_join(indications, paid,
                        {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "inner")
     return conform(rows, contract, {
         "declaratieregel_id": "uniekwvdos",

@@ -116,6 +116,15 @@ def sink_decimal(spark, folder):
         read(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal"))
 
 
+@query("SELECT doc_id, text FROM documents")
+def csv_text_round_trip(spark, folder):
+    """Texts with quotes and line breaks out to CSV and back, whole."""
+    place = new_folder(spark, "csv")
+    texts = read(spark, folder, "documents").select("doc_id", "text")
+    sinks.write_csv(texts.repartition("doc_id"), f"{place}/texts.csv")
+    return tables.read_csv_folder(spark, place, {"texts": texts.schema}, multiline=["texts"])["texts"]
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_folder_scan(spark, folder):
     """Suppliers and nations out to CSV with upper-case names, the folder read back."""
@@ -500,6 +509,47 @@ def refresh_off(spark, folder):
     return _two_loads(spark, folder, restate=False)
 
 
+@query("SELECT c_custkey, UPPER(c_name) AS c_name FROM customer")
+def refresh_changed_model(spark, folder):
+    """A model that now computes something else is built again without a restate."""
+    layers = new_layers(spark, "changed")
+    raw.append_load(read(spark, folder, "customer"), layers.qualified("raw.customer"), "load_1", LOAD_TIME)
+    for change in (F.lower, F.upper):
+        model = Model("stg.named", lambda table, change=change: table("raw.customer").select(
+            "c_custkey", change("c_name").alias("c_name")), ("raw.customer",))
+        refresh(layers, [model], restate=False)
+    return layers.table("stg.named")
+
+
+@query("""SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_mktsegment, 'load_1' AS _load_id FROM customer
+    UNION ALL SELECT c_custkey, c_mktsegment, 'load_2' FROM customer""")
+def raw_added_column(spark, folder):
+    """A later extract has one more column, NULL in the earlier load."""
+    layers = new_layers(spark, "added")
+    customers, table = read(spark, folder, "customer"), layers.qualified("raw.customer")
+    raw.append_load(customers.select("c_custkey"), table, "load_1", LOAD_TIME)
+    raw.append_load(customers.select("c_custkey", "c_mktsegment"), table, "load_2", LOAD_TIME, add_columns=True)
+    return layers.table("raw.customer").select("c_custkey", "c_mktsegment", LOAD_ID)
+
+
+@query("""WITH lines AS (SELECT l_orderkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN l_shipdate END AS returned
+        FROM lineitem), found AS (
+    SELECT 'one_order' AS audit, 'pk_unique' AS kind, 'l_orderkey' AS column_name, (SELECT COUNT(*) FROM
+        (SELECT 1 FROM lines GROUP BY l_orderkey HAVING COUNT(*) > 1)) AS violations
+    UNION ALL SELECT 'one_part', 'pk_unique', 'l_orderkey, l_partkey', (SELECT COUNT(*) FROM
+        (SELECT 1 FROM lines GROUP BY l_orderkey, l_partkey HAVING COUNT(*) > 1))
+    UNION ALL SELECT 'came_back', 'pk_not_null', 'returned', (SELECT COUNT(*) FROM lines WHERE returned IS NULL))
+    SELECT 'lines' AS table_name, *, violations = 0 AS passed FROM found""")
+def audit_several_keys(spark, folder):
+    """Two unique keys and a null check on a third column of one table."""
+    lines = read(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", F.when(F.col("l_returnflag") == "R", F.col("l_shipdate")).alias("returned"))
+    return audits.summarise({"lines": lines}, [
+        audits.Audit("lines", "one_order", "pk_unique", "l_orderkey"),
+        audits.Audit("lines", "one_part", "pk_unique", "l_orderkey, l_partkey"),
+        audits.Audit("lines", "came_back", "pk_not_null", "returned")])
+
+
 @query("SELECT s_suppkey, s_name FROM supplier")
 def layer_full_refresh(spark, folder):
     """A stored table replaced by a narrower one of other rows."""
@@ -542,62 +592,62 @@ def end_to_end(spark, folder):
 
 # --- SQL constructs a model may use -------------------------------------------------------------------------
 
-@query("""SELECT l_returnflag AS category_name, COUNT(*) AS record_count,
-    SUM(l_quantity) AS total_amount, AVG(l_quantity) AS avg_amount,
-    MAX(l_shipdate) AS latest_date FROM lineitem GROUP BY l_returnflag""")
+@query("""SELECT s_nationkey AS nation, COUNT(*) AS suppliers, CAST(SUM(s_suppkey) AS BIGINT) AS key_sum,
+    AVG(s_suppkey) AS mean_key, MAX(s_name) AS last_name FROM supplier GROUP BY s_nationkey""")
 def sql_group_agg(spark, folder):
-    return read(spark, folder, "lineitem").groupBy(F.col("l_returnflag").alias("category_name")).agg(
-        F.count(F.lit(1)).alias("record_count"), F.sum("l_quantity").alias("total_amount"),
-        F.avg("l_quantity").alias("avg_amount"), F.max("l_shipdate").alias("latest_date"))
+    """How many suppliers does each nation have?"""
+    return read(spark, folder, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(
+        F.count(F.lit(1)).alias("suppliers"), F.sum("s_suppkey").alias("key_sum"),
+        F.avg("s_suppkey").alias("mean_key"), F.max("s_name").alias("last_name"))
 
 
-@query("""SELECT o_orderkey AS record_id, o_orderpriority AS category, ROW_NUMBER() OVER (
-    PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS row_num FROM orders""")
+@query("""SELECT o_custkey, o_orderkey, ROW_NUMBER() OVER (
+    PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth_order FROM orders""")
 def sql_row_number(spark, folder):
-    orders = read(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("record_id"), F.col("o_orderpriority").alias("category"),
-        F.col("o_orderdate").alias("date"))
-    return windows.numbered(orders, ["category"], ["date", "record_id"], "row_num").drop("date")
+    """Which of its customer's orders is each order?"""
+    orders = read(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return windows.numbered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                            "nth_order").drop("o_orderdate")
 
 
-@query("""SELECT o_orderkey AS record_id, o_orderpriority AS category,
-    CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderpriority) AS DOUBLE)
-    AS category_total FROM orders""")
+@query("""SELECT event_id, kind,
+    CAST(SUM(event_id) OVER (PARTITION BY kind) AS BIGINT) AS ids_of_kind FROM (
+    SELECT event_id, CASE WHEN event_id % 3 > 0 THEN event_id % 3 END AS kind FROM events)""")
 def sql_window_sum(spark, folder):
-    orders = read(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("record_id"), F.col("o_orderpriority").alias("category"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
-    total = F.sum("amount").cast("double")
-    return windows.with_group_total(orders, ["category"], total, "category_total").drop("amount")
+    """A sum over each group, the events without a kind being one group."""
+    third = F.col("event_id") % 3
+    events = read(spark, folder, "events").select(
+        "event_id", F.when(third > 0, third).alias("kind"))
+    return windows.with_group_total(events, ["kind"], F.sum("event_id"), "ids_of_kind")
 
 
-_CASES = """SELECT o_orderkey AS record_id,
-    CASE WHEN o_orderstatus = 'F' THEN 'Active' WHEN o_orderstatus = 'O' THEN 'Inactive'
-        ELSE 'Unknown' END AS status_label,
-    CASE o_orderpriority WHEN '1-URGENT' THEN 'One' WHEN '2-HIGH' THEN 'Two' END AS type_label,
-    COALESCE(CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END,
-        CASE WHEN o_orderstatus = 'O' THEN o_orderstatus END, 'none') AS coalesced_value,
-    COALESCE(CASE o_orderstatus WHEN 'P' THEN o_orderpriority END, 'Unknown') AS safe_name,
-    o_orderpriority IN ('1-URGENT', '2-HIGH') AS is_high, o_orderkey + o_custkey AS total
-    FROM {orders}"""
+_SHIPPING = """SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_quantity >= 40 THEN 'pallet' WHEN l_quantity >= 10 THEN 'box' ELSE 'parcel' END AS unit,
+    CASE l_linestatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS is_shipped,
+    COALESCE(CASE WHEN l_returnflag = 'R' THEN l_shipdate END,
+        CASE WHEN l_discount > 0.05 THEN l_shipdate END, DATE '1970-01-01') AS review_from,
+    l_returnflag IN ('A', 'R') AS was_returned, l_partkey + l_suppkey AS place
+    FROM {lineitem}"""
 
 
-@query(_CASES.format(orders="orders"))
+@query(_SHIPPING.format(lineitem="lineitem"))
 def sql_case_coalesce(spark, folder):
-    return spark.sql(_CASES, orders=read(spark, folder, "orders"))
+    """How is a line shipped, and from when must it be looked at again?"""
+    return spark.sql(_SHIPPING, lineitem=read(spark, folder, "lineitem"))
 
 
-@query("""SELECT c_custkey, UPPER(c_name) AS upper_name, LOWER(c_name) AS lower_name,
-    CONCAT(c_name, ' ', c_mktsegment) AS full_name, SUBSTRING(c_mktsegment, 1, 3) AS code_prefix,
-    LENGTH(c_name) AS desc_length, REPLACE(LOWER(c_mktsegment), ' ', '.') || '@example.org' AS email
-    FROM customer""")
+@query("""SELECT p_partkey, UPPER(p_brand) AS brand, LOWER(p_type) AS kind,
+    CONCAT(p_brand, '/', p_type) AS label, SUBSTRING(p_type, 1, 4) AS family,
+    LENGTH(p_name) AS name_size, REPLACE(LOWER(p_brand), ' ', '.') || '@example.org' AS contact
+    FROM part""")
 def sql_string_fns(spark, folder):
-    return read(spark, folder, "customer").select(
-        "c_custkey", F.upper("c_name").alias("upper_name"), F.lower("c_name").alias("lower_name"),
-        F.concat("c_name", F.lit(" "), "c_mktsegment").alias("full_name"),
-        F.substring("c_mktsegment", 1, 3).alias("code_prefix"),
-        F.length("c_name").cast("bigint").alias("desc_length"),
-        email_for(F.col("c_mktsegment")).alias("email"))
+    """How is a part labelled?"""
+    return read(spark, folder, "part").select(
+        "p_partkey", F.upper("p_brand").alias("brand"), F.lower("p_type").alias("kind"),
+        F.concat("p_brand", F.lit("/"), "p_type").alias("label"),
+        F.substring("p_type", 1, 4).alias("family"),
+        F.length("p_name").cast("bigint").alias("name_size"),
+        email_for(F.col("p_brand")).alias("contact"))
 
 
 @query("""SELECT event_id, CAST(DATE_TRUNC('month', ts) AS TIMESTAMP) AS month_start,
@@ -609,70 +659,69 @@ def sql_date_fns(spark, folder):
         FROM {events}""", events=read(spark, folder, "events"))
 
 
-_DERIVED = """SELECT t.flag AS flag, t.lines AS lines FROM (SELECT l_returnflag AS flag,
-    COUNT(*) AS lines FROM {lineitem} GROUP BY l_returnflag) t WHERE t.lines > 0"""
+_BUSY = """SELECT busy.day AS day, busy.orders AS orders FROM (SELECT o_orderdate AS day,
+    COUNT(*) AS orders FROM {orders} GROUP BY o_orderdate) busy WHERE busy.orders > 1"""
 
 
-@query(_DERIVED.format(lineitem="lineitem"))
+@query(_BUSY.format(orders="orders"))
 def sql_derived_table(spark, folder):
-    return spark.sql(_DERIVED, lineitem=read(spark, folder, "lineitem"))
+    """Days with more than one order."""
+    return spark.sql(_BUSY, orders=read(spark, folder, "orders"))
 
 
-@query("""WITH a AS (SELECT o_orderkey FROM orders), b AS (SELECT MAX(o_orderdate) AS latest FROM orders)
-    SELECT a.o_orderkey AS col_a, b.latest AS col_b FROM a JOIN b ON 1 = 1""")
+@query("""SELECT p_partkey, (SELECT AVG(p_size) FROM part) AS mean_size FROM part""")
 def sql_join_on_true(spark, folder):
     """A join without a key whose right side is one aggregate row, as a scalar subquery."""
-    orders = read(spark, folder, "orders")
-    latest = orders.agg(F.max("o_orderdate")).scalar()
-    return orders.select(F.col("o_orderkey").alias("col_a"), latest.alias("col_b"))
+    part = read(spark, folder, "part")
+    return part.select("p_partkey", part.agg(F.avg("p_size")).scalar().alias("mean_size"))
 
 
-@query("""SELECT c.c_custkey AS main_id, l.o_orderkey AS lateral_value FROM customer c
-    JOIN (SELECT o_custkey, o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_custkey
-        ORDER BY o_totalprice DESC, o_orderkey DESC) AS rn FROM orders) l
-    ON l.o_custkey = c.c_custkey AND l.rn = 1""")
+@query("""SELECT p.p_partkey, l.l_orderkey AS largest_order FROM part p
+    JOIN (SELECT l_partkey, l_orderkey, ROW_NUMBER() OVER (PARTITION BY l_partkey
+        ORDER BY l_quantity DESC, l_orderkey DESC) AS place FROM lineitem) l
+    ON l.l_partkey = p.p_partkey AND l.place = 1""")
 def sql_lateral_top1(spark, folder):
-    """CROSS JOIN LATERAL (.. ORDER BY .. LIMIT 1): the top row per key from partial aggregates."""
-    top = read(spark, folder, "orders").groupBy("o_custkey").agg(
-        F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("lateral_value"))
-    customers = read(spark, folder, "customer").select(F.col("c_custkey").alias("main_id"))
-    return customers.join(top, F.col("main_id") == F.col("o_custkey")).select(
-        "main_id", "lateral_value")
+    """The largest order of each part: a lateral top row per key from partial aggregates."""
+    top = read(spark, folder, "lineitem").groupBy("l_partkey").agg(
+        F.max_by("l_orderkey", F.struct("l_quantity", "l_orderkey")).alias("largest_order"))
+    parts = read(spark, folder, "part").select("p_partkey")
+    return parts.join(top, F.col("p_partkey") == F.col("l_partkey")).select("p_partkey", "largest_order")
 
 
-_CORRELATED = """SELECT c.c_custkey AS outer_id, (SELECT MAX(o.o_totalprice) FROM {orders} o
-    WHERE o.o_custkey = c.c_custkey) AS max_value FROM {customer} c"""
+_LAST_SHIPPED = """SELECT s.s_suppkey, (SELECT MAX(l.l_shipdate) FROM {lineitem} l
+    WHERE l.l_suppkey = s.s_suppkey) AS last_shipped FROM {supplier} s"""
 
 
-@query(_CORRELATED.format(orders="orders", customer="customer"))
+@query(_LAST_SHIPPED.format(lineitem="lineitem", supplier="supplier"))
 def sql_correlated_max(spark, folder):
-    return spark.sql(_CORRELATED, orders=read(spark, folder, "orders"),
-                     customer=read(spark, folder, "customer"))
+    """When did each supplier ship last?"""
+    return spark.sql(_LAST_SHIPPED, lineitem=read(spark, folder, "lineitem"),
+                     supplier=read(spark, folder, "supplier"))
 
 
-_STAR = "SELECT t.*, 'constant' AS extra_col FROM {part} t"
+_REGIONS = "SELECT n.*, 1 AS is_served FROM {nation} n"
 
 
-@query(_STAR.format(part="part"))
+@query(_REGIONS.format(nation="nation"))
 def sql_star_const(spark, folder):
-    return spark.sql(_STAR, part=read(spark, folder, "part"))
+    return spark.sql(_REGIONS, nation=read(spark, folder, "nation"))
 
 
-@query("""SELECT s_suppkey AS record_id, 'A' AS source FROM supplier
-    UNION ALL SELECT p_partkey, 'B' FROM part""")
+@query("""SELECT c_nationkey AS nation, 'customer' AS party FROM customer
+    UNION ALL SELECT s_nationkey, 'supplier' FROM supplier""")
 def sql_union_all(spark, folder):
+    """Where do our parties live? Every customer and supplier counts."""
+    customers = read(spark, folder, "customer").select(
+        F.col("c_nationkey").alias("nation"), F.lit("customer").alias("party"))
     suppliers = read(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("record_id"), F.lit("A").alias("source"))
-    parts = read(spark, folder, "part").select(
-        F.col("p_partkey").alias("record_id"), F.lit("B").alias("source"))
-    return suppliers.unionByName(parts)
+        F.col("s_nationkey").alias("nation"), F.lit("supplier").alias("party"))
+    return customers.unionByName(suppliers)
 
 
-@query("SELECT DISTINCT l_returnflag AS unique_category, l_linestatus AS unique_type FROM lineitem")
+@query("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
 def sql_distinct(spark, folder):
-    return read(spark, folder, "lineitem").select(
-        F.col("l_returnflag").alias("unique_category"),
-        F.col("l_linestatus").alias("unique_type")).distinct()
+    """Which customers have orders in which state?"""
+    return read(spark, folder, "orders").select("o_custkey", "o_orderstatus").distinct()
 
 
 @query("""SELECT o.o_orderkey, c.c_name, n.n_name FROM orders o
@@ -683,6 +732,6 @@ def sql_join_chain(spark, folder):
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey")
     customers = read(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     nations = read(spark, folder, "nation").select("n_nationkey", "n_name")
-    named = joins.salted_join(orders, customers, {"o_custkey": "c_custkey"}, "inner")
-    placed = joins.lookup_join(named, nations, {"c_nationkey": "n_nationkey"}, "left", like=named)
+    named = joins.keyed_join(orders, customers, {"o_custkey": "c_custkey"}, "inner")
+    placed = joins.keyed_join(named, nations, {"c_nationkey": "n_nationkey"}, "left")
     return placed.select("o_orderkey", "c_name", "n_name")

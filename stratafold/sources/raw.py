@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
 LOAD_ID = "_load_id"
@@ -20,9 +20,13 @@ def stamp(df: DataFrame, load_id: str, load_time: datetime | str) -> DataFrame:
     })
 
 
-def append_load(df: DataFrame, table: str, load_id: str, load_time: datetime | str) -> int:
+def append_load(df: DataFrame, table: str, load_id: str, load_time: datetime | str,
+                add_columns: bool = False) -> int:
     """Append one extract as a load and return its row count.
 
+    With ``add_columns`` a column the table does not have yet is added, NULL in earlier
+    loads, and one that the extract lacks is NULL in this load; else both are refused.
+
     The load is one partition, and writing it again replaces that partition, so a
     job repeated after a failure leaves no rows twice.
     """
@@ -34,6 +38,14 @@ def append_load(df: DataFrame, table: str, load_id: str, load_time: datetime | s
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({stamped.schema.toDDL()}) "
                   f"PARTITIONED BY ({LOAD_ID})")
     known = spark.table(table).columns
+    if add_columns:
+        new = [f for f in stamped.schema if f.name not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({T.StructType(new).toDDL()})")
+            known = spark.table(table).columns
+        kinds = {f.name: f.dataType for f in spark.table(table).schema}
+        stamped = stamped.withColumns({
+            name: F.lit(None).cast(kinds[name]) for name in known if name not in stamped.columns})
     if sorted(known) != sorted(stamped.columns):
         raise ValueError(f"{table} has columns {sorted(known)}, the load {sorted(stamped.columns)}")
     written = Observation()

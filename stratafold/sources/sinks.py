@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
+from stratafold.sources.tables import CSV_QUOTING
+
 # Destination -> Spark data source that writes it.
 DESTINATIONS = {
     "postgres": "jdbc",
@@ -32,8 +34,8 @@ def doubles_to_decimal(df: DataFrame, precision: int = 18, scale: int = 2) -> Da
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; one file per task below ``path``."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """CSV with a header; one file per task below ``path``, quotes in values doubled."""
+    df.write.mode("overwrite").options(**CSV_QUOTING).csv(path)
 
 
 def write_to(df: DataFrame, destination: str, table: str, mode: str = "append",

@@ -58,35 +58,49 @@ def row_limit(df: DataFrame, rows: int | None, order_by: Iterable[str | Column]
     return (df.orderBy(*order) if order else df).limit(rows)
 
 
-# Timestamps in CSV extracts stay text, as declared for the raw layer.
-_CSV_OPTIONS = {"header": "true", "timestampFormat": "'none'", "timestampNTZFormat": "'none'",
+# Timestamps in CSV extracts stay text, as declared for the raw layer; a quote inside a
+# quoted value is doubled; spaces belong to the value.
+CSV_QUOTING = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+_CSV_OPTIONS = {**CSV_QUOTING, "timestampFormat": "'none'", "timestampNTZFormat": "'none'",
                 "preferDate": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             multiline: bool = False) -> DataFrame:
     """CSV with a header and lower-cased column names.
 
-    Without a schema the types are inferred, which reads the file twice.
+    Without a schema the types are inferred, which reads the file twice. ``multiline`` allows
+    line breaks in quoted values; each file is then read by one task, so write such tables
+    as many files.
     """
-    reader = spark.read.options(**_CSV_OPTIONS)
+    reader = spark.read.options(**_CSV_OPTIONS, multiLine=multiline)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     return lower_names(reader.csv(path))
 
 
 def read_csv_folder(spark: SparkSession, folder: str,
-                    schemas: Mapping[str, T.StructType] | None = None) -> dict[str, DataFrame]:
-    """One table per ``*.csv`` entry (a file, or a folder a CSV sink wrote), by sorted stem."""
+                    schemas: Mapping[str, T.StructType] | None = None,
+                    multiline: Iterable[str] = ()) -> dict[str, DataFrame]:
+    """One table per ``*.csv`` entry (a file, or a folder a CSV sink wrote), by sorted name.
+
+    Entries may lie in folders below; names are lower-cased, and two entries of one name are
+    refused. ``multiline`` names the tables whose values may hold line breaks.
+    """
+    entry = F.regexp_extract("path", r"^(.*?/([^/]+)\.csv)(/[^/]*)?$", 1)
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv").load(folder)
-        .select(F.regexp_extract("path", r"^.*?/([^/]+)\.csv(/[^/]*)?$", 1).alias("stem"))
-        .distinct()
+        .select(entry.alias("entry")).distinct()
     )
-    stems = sorted(row.stem for row in listing.collect())
-    if not stems:
+    found: dict[str, str] = {}
+    for row in sorted(listing.collect()):
+        name = row.entry.rsplit("/", 1)[-1][:-len(".csv")].lower()
+        if name in found:
+            raise ValueError(f"{found[name]} and {row.entry} are both table {name!r}")
+        found[name] = row.entry
+    if not found:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    schemas = schemas or {}
-    return {
-        stem.lower(): read_csv(spark, f"{folder}/{stem}.csv", schemas.get(stem.lower()))
-        for stem in stems
-    }
+    several, schemas = set(multiline), schemas or {}
+    return {name: read_csv(spark, found[name], schemas.get(name), name in several)
+            for name in sorted(found)}

@@ -5,11 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stratafold.functions.rows import rows_frame
-from stratafold.operators import joins
 from stratafold.operators.joins import (
-    _spread, fan_out, fan_out_counts, hot_keys, is_small, lookup_by_domain, lookup_join, orphans,
-    repeat_rows, salted_join, with_matches)
+    fan_out, fan_out_counts, keyed_join, lookup_by_domain, orphans, repeat_rows, with_matches)
 
 
 @pytest.fixture(scope="module")
@@ -28,75 +25,68 @@ def right(spark):
     return spark.createDataFrame(data, "rk bigint, v string")
 
 
-SMALL = {"splits": 20, "hot_rows": 100}
-
-
-def test_hot_keys_are_found_and_bounded(skewed):
-    hot = hot_keys(skewed, ["k"], **SMALL)
-    assert len(hot) == 2  # key 7 and NULL
-    assert max(parts for _, parts in hot) == 7  # a third of 20 splits
-    assert hot_keys(skewed, ["k"]) == []  # 1,000 rows fit one task
-    assert len(hot_keys(skewed, ["row"], splits=200, hot_rows=0)) <= 200
-
-
-def test_salting_spreads_a_hot_key(skewed, right, capsys):
-    salted_join(skewed, right, {"k": "rk"}, "left", **SMALL).explain()
-    assert "_salt" in capsys.readouterr().out
-    parts = rows_frame(skewed.sparkSession, hot_keys(skewed, ["k"], **SMALL), "_hot bigint, _splits int")
-    spread = _spread(skewed, ["k"], parts).where("k = 7").groupBy("_salt").count()
-    sizes = [r["count"] for r in spread.collect()]
-    assert len(sizes) == 7 and max(sizes) < 2 * 1000 / 7
-
-
-def test_without_hot_keys_the_join_is_plain(skewed, right, capsys):
-    salted_join(skewed, right, {"k": "rk"}, "left").explain()
-    assert "_salt" not in capsys.readouterr().out
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_a_plain_join(skewed, right, rows, how):
+def test_keyed_join_equals_a_plain_join(skewed, right, rows, how):
     plain = skewed.join(right, F.col("k") == F.col("rk"), how).drop("rk")
-    found = salted_join(skewed, right, {"k": "rk"}, how, **SMALL)
+    found = keyed_join(skewed, right, {"k": "rk"}, how)
     assert found.columns == plain.columns
     assert rows(found) == rows(plain)
 
 
-def test_salted_join_on_two_keys_of_the_same_name(skewed, rows):
-    right = skewed.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
-    plain = skewed.join(right, ["k", "s"], "left").select("k", "s", "row", "n")
-    found = salted_join(skewed, right, {"k": "k", "s": "s"}, "left", like=skewed, **SMALL)
-    assert rows(found) == rows(plain)
-
+@pytest.mark.parametrize("how", ["right", "full", "outer", "cross"])
+def test_other_join_kinds_are_refused(skewed, right, how):
+    with pytest.raises(ValueError, match="not one of"):
+        keyed_join(skewed, right, {"k": "rk"}, how)
 
-def test_salted_join_refuses_keys_that_would_hash_differently(skewed, frame):
-    with pytest.raises(ValueError, match="one type"):
-        salted_join(skewed, frame([(7,)], "rk int"), {"k": "rk"}, "inner")
-    floats = frame([(0.0,)], "f double")
-    with pytest.raises(ValueError, match="not a float"):
-        salted_join(floats, floats, {"f": "f"}, "left_semi")
 
-
-@pytest.mark.parametrize("limit", [2, 1000])
-def test_lookup_join_is_the_same_whichever_way_it_goes(skewed, right, rows, monkeypatch, limit):
-    monkeypatch.setattr(joins, "is_small", lambda df: is_small(df, limit))
-    plain = skewed.join(right, F.col("k") == F.col("rk"), "left").drop("rk")
-    found = lookup_join(skewed, right, {"k": "rk"}, "left")
-    assert rows(found) == rows(plain)
+def test_null_keys_match_on_request(skewed, right, rows):
+    plain = skewed.join(right, F.col("k").eqNullSafe(F.col("rk")), "left").drop("rk")
+    assert rows(keyed_join(skewed, right, {"k": "rk"}, "left", null_safe=True)) == rows(plain)
 
 
-def test_is_small(spark):
-    assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10)
+def test_keyed_join_on_two_keys_of_the_same_name(skewed, rows):
+    right = skewed.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
+    plain = skewed.join(right, ["k", "s"], "left").select("k", "s", "row", "n")
+    assert rows(keyed_join(skewed, right, {"k": "k", "s": "s"}, "left")) == rows(plain)
+
+
+@pytest.mark.parametrize("codes", [10_000, 10_001, 50_000])
+def test_keys_of_two_whole_types_match_at_every_size(spark, codes):
+    left = spark.range(100).select(F.col("id").cast("int").alias("k"))
+    right = spark.range(codes).select(F.col("id").alias("rk"), F.lit(1).alias("one"))
+    assert keyed_join(left, right, {"k": "rk"}, "left").where("one = 1").count() == 100
+
+
+def test_a_hot_key_of_equal_rows_is_split(spark):
+    """200,000 equal rows on one key: adaptive execution cuts them into many parts."""
+    left = spark.range(200_000, numPartitions=8).select(F.lit(7).alias("k"), F.lit("x" * 50).alias("pad"))
+    left = left.unionByName(spark.range(2_000).select(F.col("id").cast("int").alias("k"), F.lit("y").alias("pad")))
+    right = spark.range(2_000).select(F.col("id").cast("int").alias("rk"), F.lit("v" * 20).alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = keyed_join(left, right, {"k": "rk"}, "left")
+        parts = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1
+        assert joined.where("v is not null").count() == 202_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_with_matches(skewed, right, rows):
     plain = skewed.join(right.groupBy("rk").count(), F.col("k") == F.col("rk"), "left")
     plain = plain.select("k", "s", "row", F.coalesce("count", F.lit(0)))
-    assert rows(with_matches(skewed, right, {"k": "rk"}, "n", **SMALL)) == rows(plain)
+    assert rows(with_matches(skewed, right, {"k": "rk"}, "n")) == rows(plain)
 
 
 def test_fan_out_repeats_rows_like_a_left_join(skewed, right, rows):
     plain = skewed.join(right, F.col("k") == F.col("rk"), "left").select("k", "s", "row")
-    assert rows(fan_out(skewed, right, {"k": "rk"}, **SMALL)) == rows(plain)
+    assert rows(fan_out(skewed, right, {"k": "rk"})) == rows(plain)
 
 
 def test_fan_out_counts_form_no_pairs(skewed, right, rows, capsys):
@@ -111,10 +101,7 @@ def test_repeat_rows_in_blocks(frame):
     assert counts == {"a": 25_001, "c": 1, "d": 10_000}
 
 
-@pytest.mark.parametrize("limit", [2, 1000])
-def test_lookup_by_domain(frame, rows, capsys, monkeypatch, limit):
-    monkeypatch.setattr(joins, "is_small", lambda df: is_small(df, limit))
-    monkeypatch.setattr(joins, "HOT_ROWS", 0)
+def test_lookup_by_domain(frame, rows, capsys):
     df = frame([(1, "C", "X"), (2, "C", "Y"), (3, "C", None), (4, "none", "X"), (5, None, "X")],
                "id int, reason string, law string")
     codes = frame([("C", "D1", "one"), ("C", "D2", "two"), ("C", "D2", "two again"), ("C", "D3", "x")],
@@ -132,4 +119,4 @@ def test_lookup_by_domain(frame, rows, capsys, monkeypatch, limit):
 def test_orphans(skewed, frame, rows):
     parents = frame([(k,) for k in list(range(0, 400, 2)) + [0, 0, None]], "id bigint")
     plain = skewed.where("k % 2 = 1").select("k", "s", "row")
-    assert rows(orphans(skewed, "k", parents, "id", **SMALL)) == rows(plain)
+    assert rows(orphans(skewed, "k", parents, "id")) == rows(plain)

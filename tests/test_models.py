@@ -6,11 +6,10 @@ from datetime import date
 import duckdb
 import pytest
 
-from stratafold.operators import joins
 from stratafold.operators.audits import summarise
 from stratafold.operators.conformance import conforms, schema_diff, schema_rows
 from stratafold.plans import contracts, oracle
-from stratafold.plans.layers import run
+from stratafold.plans.layers import refresh, run
 from stratafold.plans.models import all_models, target_models, unstored
 from stratafold.plans.suite import target_audits
 from stratafold.sources.raw import LOAD_ID, LOAD_TIME, stamp
@@ -127,12 +126,8 @@ def messy_rows():
     }
 
 
-@pytest.mark.parametrize("hot_rows", [None, 0, 20])
 @pytest.mark.parametrize("table", ["beschikte_voorziening", "declaratieregel"])
-def test_joins_with_repeated_and_missing_keys(spark, table, hot_rows, monkeypatch):
-    if hot_rows is not None:  # every key, or the larger ones, spread over tasks
-        monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
-        monkeypatch.setattr(joins, "is_small", lambda df: False)
+def test_joins_with_repeated_and_missing_keys(spark, table):
     data = messy_rows()
     names, want = expected(data, table)
     found = [tuple(r) for r in built(spark, data)(f"silver.{table}").select(*names).collect()]
@@ -176,3 +171,16 @@ def test_plans_have_no_nested_loops(spark, capsys):
         table(f"silver.{name}").explain()
     plan = capsys.readouterr().out
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_building_models_and_dry_runs_start_no_job(layers, spark):
+    run(layers, frames(spark, fixture_rows()), all_models(loads=layers.loads), "L1", WHEN)
+    spark.sparkContext.setJobGroup("dry", "dry run")
+    try:
+        steps = refresh(layers, all_models(), restate=False, dry_run=True)
+        for model in target_models():
+            model.build(layers.table)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("dry")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert steps and not jobs

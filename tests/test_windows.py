@@ -28,6 +28,20 @@ def test_a_hot_group_spans_many_ranges(spark, skewed):
 
 
 def test_group_total_equals_a_window_sum(skewed, rows):
-    filled = skewed.where("g is not null")
-    plain = filled.withColumn("t", F.sum("o").over(Window.partitionBy("g")))
-    assert rows(with_group_total(filled, ["g"], F.sum("o"), "t", splits=10, hot_rows=0)) == rows(plain)
+    plain = skewed.withColumn("t", F.sum("o").over(Window.partitionBy("g")))
+    assert rows(with_group_total(skewed, ["g"], F.sum("o"), "t")) == rows(plain)
+
+
+def test_null_and_float_groups_have_totals(frame, rows):
+    df = frame([(None, 1), (None, 2), ("a", 5)], "g string, v int")
+    assert rows(with_group_total(df, ["g"], F.sum("v"), "t")) == [(None, 1, 3), (None, 2, 3), ("a", 5, 5)]
+    floats = frame([(0.5, 1), (0.5, 2)], "g double, v int")
+    assert rows(with_group_total(floats, ["g"], F.sum("v"), "t")) == [(0.5, 1, 3), (0.5, 2, 3)]
+
+
+def test_ties_span_ranges(spark, rows):
+    ties = spark.range(20_000).select(F.lit("g").alias("g"), F.lit(1).alias("o"), "id")
+    tied = ties.withColumn("_tie", F.xxhash64(*ties.columns)).repartitionByRange(8, "g", "o", "_tie")
+    assert tied.select(F.spark_partition_id().alias("p")).distinct().count() == 8
+    found = numbered(ties, ["g"], ["o"], "n", 8)
+    assert found.select("n").distinct().count() == 20_000 and found.agg(F.max("n")).first()[0] == 20_000
