@@ -46,7 +46,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def pack_array(values: np.ndarray) -> bytes:
     """Numbers by byte planes, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    values = np.ascontiguousarray(values)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.ZstdCompressor(level=_ZSTD).compress(planes.tobytes())
 
 
