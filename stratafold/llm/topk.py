@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratafold.llm.common import parts_of, sampled_splits, stored, table
+from stratafold.llm.common import parts_of, range_index, sampled_splits, stored, table
 
 K = 5
 BLOCK = 4096
 QUERY_BLOCK = 1024
+MOST_RANGES = 4096
 _SEED = 4096
 _EXACT = 2.0 ** 53
 _LARGEST = 2.0 ** 62
@@ -100,16 +101,14 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     n = candidates.count()
     length = F.floor(F.least(F.col("norm") * 1024, F.lit(1e18))).cast("bigint")
     keyed = candidates.withColumn("near", -length)
-    splits = F.lit(sampled_splits(keyed, "near", max(1, n // BLOCK)) or [0]).cast("array<bigint>")
-    # Of vectors of one length an id hash makes blocks, so ties can't swell a block.
-    crowd = keyed.groupBy("near").count().where(F.col("count") > BLOCK)
-    keyed = keyed.join(F.broadcast(crowd), "near", "left") if crowd.count() <= n // BLOCK else keyed
-    part = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("count", F.lit(1)) / BLOCK).cast("bigint"))
+    splits = sampled_splits(keyed, "near", min(MOST_RANGES, max(1, n // BLOCK))) or [0]
+    keyed = keyed.withColumn("block", range_index(splits)("near"))
+    # An id hash parts a range with more rows than a block, so many rows or ties can't swell one.
+    parts = keyed.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("bigint").alias("parts"))
     blocks = (
-        keyed.withColumn("block", F.size(F.filter(splits, lambda s: s <= F.col("near"))))
-        .groupBy("block", part.alias("part"))
+        keyed.join(F.broadcast(parts), "block")  # a row for each range
+        .groupBy("block", F.pmod(F.xxhash64("id"), "parts").alias("part"))
         .agg(F.collect_list(F.struct("id", "v")).alias("rows"), F.max("norm").alias("longest"))
-        .select("rows", "longest")
     )
     blocks = stored(blocks, "blocks")
     seed = candidates.orderBy(F.desc("norm"), "id").limit(max(_SEED, 2 * k)).agg(
@@ -168,9 +167,16 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
                      pa.array(np.concatenate([s for _, _, s in out]), pa.int64())],
                     names=["query_id", "vec_id", "score"])
 
+    # The pairs of blocks are thinned by their lengths alone; only what stays moves vectors.
     pairs = (
-        blocks.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>")))
-        .join(packed, "qb").where("longest * widest * 1.000001 + 1 >= lowest")
+        blocks.select("block", "part", "longest", F.explode(
+            F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<bigint>")).alias("qb"))
+        .join(packed.select("qb", "widest", "lowest"), "qb")
+        .where("longest * widest * 1.000001 + 1 >= lowest").select("block", "part", "qb")
+    )
+    pairs = (
+        pairs.join(blocks.select("block", "part", "rows"), ["block", "part"])
+        .join(packed.select("qb", "own", "floors"), "qb")
         .select("rows", "own", "floors").repartition(max(parts_of(spark), 1))
     )
     found = stored(pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint"), "found")
