@@ -78,10 +78,13 @@ def sampled_splits(df: DataFrame, key: str, parts: int, per_part: int = 32) -> l
     if not rows:
         return []
     every = max(1, rows // (parts * per_part))
-    picked = known.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0).distinct()
-    values = np.sort(np.array([least, *(r[0] for r in picked.collect())], dtype=np.int64))
-    at = np.arange(parts) * len(values) // parts
-    return sorted({int(v) for v in values[at]})
+    picked = known.where(F.pmod(F.xxhash64(key), F.lit(every)) == 0)
+    values = picked.agg(F.concat(F.array(F.lit(least).cast("bigint")), F.sort_array(
+        F.collect_set(F.col(key).cast("bigint")))).alias("values"))
+    place = lambda i: F.floor(i.cast("bigint") * F.size("values") / parts).cast("int")
+    splits = values.select(F.transform(
+        F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: F.get("values", place(i))))
+    return sorted(set(splits.first()[0]))
 
 
 def range_index(splits: list[int]):
