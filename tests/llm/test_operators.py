@@ -377,7 +377,9 @@ def check_pieces(pieces, texts, library):
     return of
 
 
-def test_packing(spark, docs, odd, empty, library):
+@pytest.mark.parametrize("group_ids", [packing.GROUP_IDS, 300])
+def test_packing(spark, docs, odd, empty, library, monkeypatch, group_ids):
+    monkeypatch.setattr(packing, "GROUP_IDS", group_ids)
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert set(check_pieces(queries.QUERIES["op8_retrieval_packing"](spark, SF).collect(), texts, library)) == set(texts)
     texts = {t[0]: t[1] for t in ODD}
