@@ -21,7 +21,7 @@ ROUNDS_A_STEP = 3
 MOST_STEPS = 8
 CLOSE = 1e-6
 STALLED = 0.95
-_SMALL_CELLS = 50_000
+_SMALL_BYTES = 8 << 20
 _SEED = 9
 
 
@@ -116,7 +116,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensi
     total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     share = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("fit") * (total * keep) / F.col("tokens"))).otherwise(1.0)
     odds = fitted.select(*[F.col(c).alias(f"_to{i}") for i, c in enumerate(cats)], share.alias("mix_probability"))
-    if cells.count() <= _SMALL_CELLS:
+    width = sum((F.octet_length(c) for c in cats), F.lit(40 * (len(cats) + 1)))
+    if (cells.agg(F.sum(width)).first()[0] or 0) <= _SMALL_BYTES:
         odds = F.broadcast(odds)
     match = F.lit(True)
     for i, c in enumerate(cats):
