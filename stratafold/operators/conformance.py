@@ -163,6 +163,24 @@ def column_fill(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [counts(name, df) for name, df in tables.items()])
 
 
+def cast_failures(contracts: Iterable[TableContract], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Filled values per declared column, and those that its type can't hold; one scan per table."""
+
+    def counts(contract: TableContract) -> DataFrame:
+        found = []
+        for i, c in enumerate(contract.columns):
+            value = F.col(c.name)
+            found += [F.count(value).alias(f"_n{i}"), F.count_if(
+                value.isNotNull() & value.try_cast(c.type).isNull()).alias(f"_f{i}")]
+        cells = [F.struct(F.lit(contract.name).alias("table_name"), F.lit(c.name).alias("column_name"),
+                          F.col(f"_n{i}").alias("filled"), F.col(f"_f{i}").alias("failures"))
+                 for i, c in enumerate(contract.columns)]
+        return tables[contract.name].agg(*found).select(
+            F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+    return reduce(DataFrame.unionByName, [counts(contract) for contract in contracts])
+
+
 def table_summary(spark: SparkSession, contracts: Iterable[TableContract],
                   tables: Mapping[str, DataFrame]) -> DataFrame:
     """Declared columns and keys of each contract, with the rows its table holds."""
