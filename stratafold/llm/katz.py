@@ -30,7 +30,7 @@ from stratafold.llm.common import bucket_of_id, stored, table
 from stratafold.llm.warc import open_folder
 from stratafold.session import new_folder
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 21
 BUCKET_TOKENS = 1 << 19
 LEAST_BUCKETS = 256
 CUT = 5  # counts up to this one are discounted
