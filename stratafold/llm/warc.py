@@ -142,32 +142,32 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         "id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
         "sha1", "head", F.lit(0).alias("kind")).distinct()
     both = revisits.unionByName(rows.select(
-        "*", F.lit(None).cast("string").alias("sha1"), F.lit(None).cast("bigint").alias("head"),
+        "*", F.sha1("payload").alias("sha1"), F.lit(None).cast("bigint").alias("head"),
         F.lit(1).alias("kind")))
     least = F.lit(-(1 << 63))
     placed = both.withColumn("shard", range_index(splits)(F.coalesce("id", least)))
+    # Copies of an id and payload lie side by side, after the row that says what they revisit.
     placed = placed.repartition(parts_of(spark), "shard").sortWithinPartitions(
-        "shard", "id", "kind", F.xxhash64("url", "payload"))
+        "shard", "id", "sha1", "kind", F.xxhash64("url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = open_folder(path)
         store.create_dir(folder, recursive=True)
-        out, page, heads, copies, done = None, object(), {}, {}, []
+        out, page, refers_to, revisit, copy, done = None, None, None, False, 0, []
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for shard, page_id, kind, url, payload, sha1, head in zip(
                         *(batch.column(i).slice(at, 256).to_pylist() for i in range(7))):
                     if out is None or out.shard != shard:
                         done += out.close() if out else []
-                        out, page = _Shard(store, folder, shard, file_bytes, level), object()
-                    if page != page_id:
-                        page, heads, copies = page_id, {}, {}
+                        out, page = _Shard(store, folder, shard, file_bytes, level), None
+                    if page != (page_id, sha1):
+                        page, refers_to, revisit, copy = (page_id, sha1), None, False, 0
                     if kind == 0:
-                        heads[sha1] = head
+                        refers_to, revisit = head, True
                         continue
-                    digest = hashlib.sha1(payload).hexdigest()
-                    copy = copies[digest] = copies.get(digest, -1) + 1
-                    done += out.add(_page(page_id, url, payload, heads.get(digest), digest in heads, copy, level))
+                    done += out.add(_page(page_id, url, payload, refers_to, revisit, copy, level))
+                    copy += 1
         done += out.close() if out else []
         yield pa.RecordBatch.from_pylist(
             [dict(zip(("shard", "seq", "name", "temp", "records", "bytes", "sha256"), row)) for row in done],
