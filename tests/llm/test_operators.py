@@ -387,6 +387,19 @@ def test_packing(spark, docs, odd, empty, library, monkeypatch, group_ids):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_signature_hangs_on_the_text_only(spark):
+    texts = ["", "one", "two words", "the cat sat on the mat", "der Hund und die Katze"]
+    data = [(i, texts[i * 7 % 5] if i % 3 else texts[i % 5]) for i in range(200)]
+    signatures = collections.defaultdict(set)
+    for rows in (data, data[::-1], data[:1], data[1:131]):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+        text_of = dict(rows)
+        for r in packing._tokenized(df, "doc_id", "text", encode.tokenizer_path()).where("term is null").collect():
+            signatures[text_of[r.id]].add(r.sig)
+    assert all(len(s) == 1 for s in signatures.values()) and 0 not in set.union(*signatures.values())
+    assert len(set.union(*signatures.values())) == len(texts)
+
+
 def test_packing_prefers_neighbours():
     idf = np.ones(50)
     ids = [np.array(v, np.uint32) for v in ([1, 2, 3, 4], [9, 9, 8], [20, 21], [2, 3, 4, 5], [22, 23])]
