@@ -400,6 +400,62 @@ def test_packing_signature_hangs_on_the_text_only(spark):
     assert len(set.union(*signatures.values())) == len(texts)
 
 
+def plain_packing(texts, library):
+    """All ids, and each document's BM25 scores against all others by every term, with one index."""
+    ids = [np.array(library(t), np.int64) for t in texts]
+    df = collections.Counter(t for x in ids for t in set(x.tolist()))
+    idf = np.zeros(max(df) + 1)
+    for t, c in df.items():
+        idf[t] = math.log(1 + (len(ids) - c + 0.5) / (c + 0.5))
+    group = packing._Group(list(range(len(ids))), ids, idf, np.mean([len(x) for x in ids]))
+    return ids, [group.scores(group.query_of(d)) for d in range(len(ids))]
+
+
+@pytest.mark.parametrize("dense", [512, 20])
+def test_packing_lists_equal_brute_force_over_all_documents(spark, docs, library, monkeypatch, dense):
+    for name, value in (("GROUP", 37), ("SEEDS", 30), ("DENSE_TERMS", dense)):
+        monkeypatch.setattr(packing, name, value)
+    caught = []
+    plain_round = packing._round
+    monkeypatch.setattr(packing, "_round", lambda spark, shards, *a: caught.append(shards) or plain_round(spark, shards, *a))
+    docs = docs.limit(150).coalesce(1)
+    packing.pack(docs)
+    shards = caught[0].open()
+    key = [t[0] for i in range(len(shards.files)) for t in shards.texts(i)]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(shards.files) > 3 and sorted(key) == sorted(texts)
+    scores = plain_packing([texts[k] for k in key], library)[1]
+    free = np.arange(len(key)) % 5 > 0
+    for row, _, near, _ in shards.best(np.arange(len(key)), free, 7):
+        own = np.where(free & (np.arange(len(key)) != row), scores[row], -np.inf)
+        assert len(set(near.tolist())) == 7 and row not in near and free[near].all()
+        assert np.allclose(own[near], np.sort(own)[::-1][:7], rtol=1e-5)
+
+
+@pytest.mark.parametrize("seeds, least", [(500, 95), (50, 60)])
+def test_packing_finds_neighbours_in_other_shards(spark, monkeypatch, seeds, least):
+    """Pairs of like texts, far apart and without a common id pair, share windows whatever the partitions."""
+    for name, value in (("GROUP", 20), ("SEEDS", seeds), ("LISTED", 4)):
+        monkeypatch.setattr(packing, name, value, raising=False)
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(3000)]
+    topics = [rng.choice(vocabulary, 30, replace=False) for _ in range(100)]
+    data = [(half * 100 + i, " ".join(rng.permutation(topic))) for half in (0, 1) for i, topic in enumerate(topics)]
+    found = []
+    for parts in ("4", "40"):
+        monkeypatch.setattr(packing, "parts_of", lambda _, parts=parts: int(parts))
+        df = spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)
+        found.append({tuple(r) for r in packing.pack(df, window=64).collect()})
+    assert found[0] == found[1]
+    windows = collections.defaultdict(set)
+    for r in found[0]:
+        windows[r[5]].add(r[0] % 100)
+    of = collections.defaultdict(set)
+    for r in found[0]:
+        of[r[0]].add(r[5])
+    assert sum(bool(of[i] & of[i + 100]) for i in range(100)) >= least
+
+
 def test_packing_prefers_neighbours():
     idf = np.ones(50)
     ids = [np.array(v, np.uint32) for v in ([1, 2, 3, 4], [9, 9, 8], [20, 21], [2, 3, 4, 5], [22, 23])]
