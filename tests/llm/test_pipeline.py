@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 
 def test_registered_queries():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     found = list(entry.queries())
     assert all(sum(q.startswith(n) for q in found) == 1 for n in names) and "pipeline" in found
     assert corpus_pipeline.ORACLE_SQL is None
