@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 _KINDS = ("inner", "left", "left_semi", "left_anti")
 _REPEAT_BLOCK = 10_000
+JOIN_ON_TRUE_BYTES = 1 << 20
 
 
 def keyed_join(left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str,
@@ -90,6 +91,24 @@ def lookup_by_domain(df: DataFrame, codes: DataFrame, on: Mapping[str, str], dom
     return joined.withColumnsRenamed({f"_{code}": code for code in on.values()})
 
 
+def join_on_true(left: DataFrame, right: DataFrame, most_bytes: int = JOIN_ON_TRUE_BYTES) -> DataFrame:
+    """Every left row with every row of a small right side.
+
+    The right side is measured first and refused above ``most_bytes`` (of its rows as JSON). It then
+    is one array, a scalar subquery that every task has, from which each left row draws its copies;
+    no rows are shuffled. No right rows give no rows. Column names of both sides must differ.
+    """
+    both = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
+    if both:
+        raise ValueError(f"both sides have {sorted(both)}")
+    row = F.struct(*right.columns)
+    size = right.select(F.length(F.to_json(row, {"ignoreNullFields": "false"})).alias("n")).agg(F.sum("n")).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"the right side has {size} bytes, more than {most_bytes}")
+    rows = right.agg(F.collect_list(row)).scalar()
+    return left.withColumn("_right", F.explode(rows)).select(*left.columns, "_right.*")
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose reference is set but names no parent."""
     keys = parent.select(F.col(pk).alias("_parent")).distinct()

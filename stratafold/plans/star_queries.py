@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratafold.contract import TableContract
 from stratafold.functions.rows import rows_frame
 from stratafold.functions.values import concat_key, email_for, iso_text, parse_date
-from stratafold.operators import audits, conformance, joins, windows
+from stratafold.operators import audits, conformance, joins, lateral, windows
 from stratafold.operators.conform import conform
 from stratafold.operators.latest import latest_load, staging
 from stratafold.plans import contracts, oracle, star_schema, suite
@@ -708,22 +708,22 @@ def end_to_end(spark, folder):
 
 # --- SQL constructs a model may use -------------------------------------------------------------------------
 
-@query("""SELECT s_nationkey AS nation, COUNT(*) AS suppliers, CAST(SUM(s_suppkey) AS BIGINT) AS key_sum,
-    AVG(s_suppkey) AS mean_key, MAX(s_name) AS last_name FROM supplier GROUP BY s_nationkey""")
+@query("""SELECT l_suppkey AS supplier, COUNT(*) AS lines, CAST(SUM(l_partkey) AS BIGINT) AS key_sum,
+    AVG(l_linenumber) AS mean_line, MAX(l_shipdate) AS last_shipped FROM lineitem GROUP BY l_suppkey""")
 def sql_group_agg(spark, folder):
-    """How many suppliers does each nation have?"""
-    return read(spark, folder, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).alias("suppliers"), F.sum("s_suppkey").alias("key_sum"),
-        F.avg("s_suppkey").alias("mean_key"), F.max("s_name").alias("last_name"))
+    """How many lines does each supplier ship?"""
+    return read(spark, folder, "lineitem").groupBy(F.col("l_suppkey").alias("supplier")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_partkey").alias("key_sum"),
+        F.avg("l_linenumber").alias("mean_line"), F.max("l_shipdate").alias("last_shipped"))
 
 
-@query("""SELECT o_custkey, o_orderkey, ROW_NUMBER() OVER (
-    PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth_order FROM orders""")
+@query("""SELECT l_orderkey, l_linenumber, l_returnflag, ROW_NUMBER() OVER (
+    PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber) AS nth_shipped FROM lineitem""")
 def sql_row_number(spark, folder):
-    """Which of its customer's orders is each order?"""
-    orders = read(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return windows.numbered(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                            "nth_order").drop("o_orderdate")
+    """Which line of its return flag is each line, in order of shipping? There are three large groups."""
+    lines = read(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
+    return windows.numbered(lines, ["l_returnflag"], ["l_shipdate", "l_orderkey", "l_linenumber"],
+                            "nth_shipped").drop("l_shipdate")
 
 
 @query("""SELECT event_id, kind,
@@ -775,21 +775,69 @@ def sql_date_fns(spark, folder):
         FROM {events}""", events=read(spark, folder, "events"))
 
 
-_BUSY = """SELECT busy.day AS day, busy.orders AS orders FROM (SELECT o_orderdate AS day,
-    COUNT(*) AS orders FROM {orders} GROUP BY o_orderdate) busy WHERE busy.orders > 1"""
+_BUSY = """SELECT busy.day AS day, busy.lines AS lines FROM (SELECT l_shipdate AS day,
+    COUNT(*) AS lines FROM {lineitem} GROUP BY l_shipdate) busy WHERE busy.lines > 1"""
 
 
-@query(_BUSY.format(orders="orders"))
+@query(_BUSY.format(lineitem="lineitem"))
 def sql_derived_table(spark, folder):
-    """Days with more than one order."""
-    return spark.sql(_BUSY, orders=read(spark, folder, "orders"))
+    """Days on which more than one line is shipped."""
+    return spark.sql(_BUSY, lineitem=read(spark, folder, "lineitem"))
 
 
-@query("""SELECT p_partkey, (SELECT AVG(p_size) FROM part) AS mean_size FROM part""")
+@query("""WITH last AS (SELECT MAX(o_orderdate) AS day FROM orders)
+    SELECT o.o_orderkey, last.day AS last_day FROM orders o JOIN last ON 1 = 1""")
 def sql_join_on_true(spark, folder):
     """A join without a key whose right side is one aggregate row, as a scalar subquery."""
-    part = read(spark, folder, "part")
-    return part.select("p_partkey", part.agg(F.avg("p_size")).scalar().alias("mean_size"))
+    orders = read(spark, folder, "orders")
+    return orders.select("o_orderkey", orders.agg(F.max("o_orderdate")).scalar().alias("last_day"))
+
+
+@query("""SELECT o.o_orderkey, r.r_regionkey, r.r_name FROM orders o JOIN region r ON TRUE""")
+def sql_join_on_true_rows(spark, folder):
+    """Every order with every region: the right side is a small table, held as one array."""
+    orders = read(spark, folder, "orders").select("o_orderkey")
+    return joins.join_on_true(orders, read(spark, folder, "region").select("r_regionkey", "r_name"))
+
+
+@query("""SELECT p.p_partkey, l.l_orderkey, l.l_linenumber, l.l_quantity FROM part p CROSS JOIN LATERAL (
+    SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_partkey = p.p_partkey
+    ORDER BY l_quantity DESC, l_orderkey, l_linenumber LIMIT 3) l""")
+def sql_lateral_top3(spark, folder):
+    """The three largest lines of each part; parts without a line are left out."""
+    lines = read(spark, folder, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
+    order = [F.desc("l_quantity"), F.asc("l_orderkey"), F.asc("l_linenumber")]
+    parts = read(spark, folder, "part").select("p_partkey")
+    return lateral.lateral_top(parts, lines, {"p_partkey": "l_partkey"}, order, 3).drop("place")
+
+
+@query("""SELECT c.c_custkey, s.s_suppkey, s.s_acctbal FROM customer c CROSS JOIN LATERAL (
+    SELECT s_suppkey, s_acctbal FROM supplier WHERE s_nationkey = c.c_nationkey AND s_acctbal < c.c_acctbal
+    ORDER BY s_acctbal DESC, s_suppkey LIMIT 2) s""")
+def sql_lateral_residual(spark, folder):
+    """Each customer's two richest suppliers of its nation that are poorer than the customer.
+
+    A nation is a key with a large share of both sides.
+    """
+    customers = read(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    suppliers = read(spark, folder, "supplier").select("s_nationkey", "s_suppkey", "s_acctbal")
+    return lateral.lateral_top(
+        customers, suppliers, {"c_nationkey": "s_nationkey"}, [F.desc("s_acctbal"), F.asc("s_suppkey")], 2,
+        F.col("s_acctbal") < F.col("c_acctbal"), ["c_acctbal"]).select("c_custkey", "s_suppkey", "s_acctbal")
+
+
+@query("""SELECT s.s_suppkey, l.l_orderkey, l.l_linenumber FROM supplier s LEFT JOIN LATERAL (
+    SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_suppkey = s.s_suppkey AND l_quantity > s.s_acctbal / 200
+    ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 2) l ON TRUE""")
+def sql_lateral_left(spark, folder):
+    """The first two lines each supplier shipped above a quantity of its own; suppliers without stay."""
+    suppliers = read(spark, folder, "supplier").select("s_suppkey", "s_acctbal")
+    lines = read(spark, folder, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    return lateral.lateral_top(
+        suppliers, lines, {"s_suppkey": "l_suppkey"}, [F.asc(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber")],
+        2, F.col("l_quantity") > F.col("s_acctbal") / 200, ["s_acctbal"], "left").select(
+            "s_suppkey", "l_orderkey", "l_linenumber")
 
 
 @query("""SELECT p.p_partkey, l.l_orderkey AS largest_order FROM part p
@@ -815,12 +863,12 @@ def sql_correlated_max(spark, folder):
                      supplier=read(spark, folder, "supplier"))
 
 
-_REGIONS = "SELECT n.*, 1 AS is_served FROM {nation} n"
+_OFFERED = "SELECT p.*, 1 AS is_offered FROM {part} p"
 
 
-@query(_REGIONS.format(nation="nation"))
+@query(_OFFERED.format(part="part"))
 def sql_star_const(spark, folder):
-    return spark.sql(_REGIONS, nation=read(spark, folder, "nation"))
+    return spark.sql(_OFFERED, part=read(spark, folder, "part"))
 
 
 @query("""SELECT c_nationkey AS nation, 'customer' AS party FROM customer
@@ -834,10 +882,10 @@ def sql_union_all(spark, folder):
     return customers.unionByName(suppliers)
 
 
-@query("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
+@query("SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem")
 def sql_distinct(spark, folder):
-    """Which customers have orders in which state?"""
-    return read(spark, folder, "orders").select("o_custkey", "o_orderstatus").distinct()
+    """Which suppliers have lines with which return flag?"""
+    return read(spark, folder, "lineitem").select("l_suppkey", "l_returnflag").distinct()
 
 
 @query("""SELECT o.o_orderkey, c.c_name, n.n_name FROM orders o

@@ -45,3 +45,26 @@ def test_ties_span_ranges(spark, rows):
     assert tied.select(F.spark_partition_id().alias("p")).distinct().count() == 8
     found = numbered(ties, ["g"], ["o"], "n", 8)
     assert found.select("n").distinct().count() == 20_000 and found.agg(F.max("n")).first()[0] == 20_000
+
+
+def test_rows_are_shuffled_once(spark, skewed, rows):
+    """One exchange of the rows; what is joined back is one row a range."""
+    from stratafold.operators.windows import _number_ranges
+    ranged = skewed.repartitionByRange(8, "g", "o").sortWithinPartitions("g", "o")
+    plan = _number_ranges(ranged, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    found = numbered(skewed, ["g"], ["o", "id"], "n", 8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Sort" not in plan.split("BroadcastExchange")[0]
+
+
+def test_numbered_over_float_date_and_no_groups(spark, rows):
+    data = spark.range(500).select(
+        F.when(F.col("id") % 3 == 0, float("nan")).when(F.col("id") % 3 == 1, F.lit(0.5)).alias("f"),
+        F.expr("date_add(date'2024-01-01', cast(id % 2 as int))").alias("d"), "id")
+    for keys in (["f", "d"], []):
+        window = Window.partitionBy(*keys).orderBy(F.desc("id"))
+        plain = data.withColumn("n", F.row_number().over(window))
+        key = lambda df: sorted(str(tuple(r)) for r in df.collect())
+        assert key(numbered(data, keys, [F.desc("id")], "n", 7)) == key(plain)
+    assert numbered(data.limit(0), ["f"], ["id"], "n").count() == 0
