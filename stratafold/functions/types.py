@@ -158,3 +158,39 @@ def declared_length(raw: str) -> int | None:
     name = " ".join(found["name"].upper().split())
     text = "VARCHAR" in (name, _GENERIC_LOOKUP.get(name), _ANY_ENGINE.get(name))
     return int(found["first"]) if text and found["first"] else None
+
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = dict(zip(_WHOLE, (3, 5, 10, 20)))  # decimal digits that hold any value, as Parquet readers ask
+
+
+def wider_type(one: T.DataType, other: T.DataType) -> T.DataType | None:
+    """The narrowest type that holds every value of both exactly, and under which Parquet files of
+    either can be read; None if there is none.
+
+    Whole numbers widen among themselves, up to INT into DOUBLE, and into decimals with room for
+    all their digits; FLOAT into DOUBLE; DATE into a timestamp without time zone; decimals keep the
+    larger number of digits on both sides of the point, 38 in all at most.
+    """
+    if one == other:
+        return one
+    kinds = {type(one), type(other)}
+    if kinds <= set(_WHOLE):
+        return max((one, other), key=lambda t: _WHOLE.index(type(t)))
+    if T.DecimalType in kinds:
+        parts = []
+        for t in (one, other):
+            if isinstance(t, T.DecimalType):
+                parts.append((t.precision - t.scale, t.scale))
+            elif type(t) in _DIGITS:
+                parts.append((max(_DIGITS[type(t)], 10), 0))
+            else:
+                return None
+        scale = max(p[1] for p in parts)
+        precision = max(p[0] for p in parts) + scale
+        return T.DecimalType(precision, scale) if precision <= 38 else None
+    if T.DoubleType in kinds and kinds <= {T.DoubleType, T.FloatType, *_WHOLE[:3]}:
+        return T.DoubleType()
+    if kinds == {T.DateType, T.TimestampNTZType}:
+        return T.TimestampNTZType()
+    return None

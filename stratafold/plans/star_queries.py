@@ -639,6 +639,86 @@ def raw_added_column(spark, folder):
     return layers.table("raw.customer").select("c_custkey", "c_mktsegment", LOAD_ID)
 
 
+@query("""SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+        CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(16,4)) AS c_acctbal,
+        CAST(DATE '2024-01-31' AS TIMESTAMP) AS seen_at, 'load_1' AS _load_id FROM customer
+    UNION ALL SELECT CAST(c_custkey AS BIGINT) + 5000000000, c_nationkey,
+        CAST(c_acctbal AS DECIMAL(16,4)), TIMESTAMP '2024-02-01 12:30:00', 'load_2' FROM customer""")
+def raw_widened(spark, folder):
+    """A later extract has wider types: INT to BIGINT, DATE to TIMESTAMP, more decimal digits."""
+    layers = new_layers(spark, "widened")
+    customers, table = read(spark, folder, "customer"), layers.qualified("raw.customer")
+    first = customers.select(
+        F.col("c_custkey").cast("int"), F.col("c_nationkey").cast("int"), F.col("c_acctbal").cast("decimal(12,2)"),
+        F.lit("2024-01-31").cast("date").alias("seen_at"))
+    second = customers.select(
+        (F.col("c_custkey").cast("bigint") + 5000000000).alias("c_custkey"), F.col("c_nationkey").cast("bigint"),
+        F.col("c_acctbal").cast("decimal(16,4)"), F.lit("2024-02-01 12:30:00").cast("timestamp_ntz").alias("seen_at"))
+    raw.append_load(first, table, "load_1", LOAD_TIME, widen=True)
+    raw.append_load(second, table, "load_2", LOAD_TIME, widen=True)
+    return layers.table("raw.customer").drop("_load_time")
+
+
+_SHARED = {"customer": ("c_nationkey", "c_custkey"), "supplier": ("s_nationkey", "s_suppkey")}
+
+
+def _party_models(layers: Layers) -> list[Model]:
+    """Two staged sources, a target on each, and one on both."""
+    def staged(name, columns):
+        return Model(f"stg.{name}", lambda table: staging(
+            table(f"raw.{name}"), columns, loads=layers.loads(f"raw.{name}")), (f"raw.{name}",))
+
+    def parties(name, columns):
+        return Model(f"silver.{name}", lambda table: table(f"stg.{name}").select(
+            F.col(columns[0]).alias("nation"), F.col(columns[1]).alias("party")), (f"stg.{name}",))
+
+    every = Model("silver.party", lambda table: table("silver.customer").unionByName(table("silver.supplier")),
+                  ("silver.customer", "silver.supplier"))
+    return [build(name, columns) for build in (staged, parties) for name, columns in _SHARED.items()] + [every]
+
+
+@query("""WITH c AS (SELECT COUNT(*) AS n, SUM(c_custkey + 1) AS s FROM customer),
+        p AS (SELECT COUNT(*) AS n, SUM(s_suppkey) AS s FROM supplier)
+    SELECT t.table_name, t.action, CAST(t.n AS BIGINT) AS "rows", CAST(t.s AS BIGINT) AS key_sum FROM (
+        SELECT 'silver.customer' AS table_name, 'build' AS action, n, s FROM c
+        UNION ALL SELECT 'silver.supplier', 'keep', n, s FROM p
+        UNION ALL SELECT 'silver.party', 'build', c.n + p.n, c.s + p.s FROM c, p) t""")
+def refresh_new_load(spark, folder):
+    """One of two sources has a new load: what was built or kept, and the rows as they then stand."""
+    layers = new_layers(spark, "new_load")
+    models = _party_models(layers)
+    for name in _SHARED:
+        raw.append_load(read(spark, folder, name), layers.qualified(f"raw.{name}"), "load_1", LOAD_TIME)
+    refresh(layers, models)
+    changed = read(spark, folder, "customer").withColumn("c_custkey", F.col("c_custkey") + 1)
+    raw.append_load(changed, layers.qualified("raw.customer"), "load_2", LOAD_TIME)
+    steps = refresh(layers, models, restate=False, new_loads=True)
+    told = {step.table: step.action for step in steps if step.table.startswith("silver.")}
+    rows = [layers.table(name).agg(F.count(F.lit(1)).alias("rows"), F.sum("party").alias("key_sum")).select(
+        F.lit(name).alias("table_name"), F.lit(action).alias("action"), "rows", "key_sum")
+        for name, action in told.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def layer_failed_refresh(spark, folder):
+    """A refresh that fails in the middle of its write leaves the table's rows as they were."""
+    layers = new_layers(spark, "failed_refresh")
+    layers.replace(read(spark, folder, "supplier").select("s_suppkey", "s_name"), "silver.party")
+    parts = read(spark, folder, "part")
+    last = parts.agg(F.max("p_partkey")).scalar()
+    bad = parts.withColumn("p_name", F.when(F.col("p_partkey") == last, F.raise_error(F.lit("unreadable row")))
+                           .otherwise(F.col("p_name")))
+    try:
+        layers.replace(bad, "silver.party")
+    except Exception as error:
+        if "unreadable row" not in str(error):
+            raise
+    else:
+        raise AssertionError("the refresh was meant to fail")
+    return layers.table("silver.party")
+
+
 @query("""WITH lines AS (SELECT l_orderkey, l_partkey, CASE WHEN l_returnflag = 'R' THEN l_shipdate END AS returned
         FROM lineitem), found AS (
     SELECT 'one_order' AS audit, 'pk_unique' AS kind, 'l_orderkey' AS column_name, (SELECT COUNT(*) FROM

@@ -1,7 +1,9 @@
 import pytest
 
 from stratafold.operators.latest import staging
-from stratafold.plans.layers import refresh, run
+from pyspark.sql import functions as F
+
+from stratafold.plans.layers import _whole_plans, refresh, run, sources_of
 from stratafold.plans.models import Model
 from stratafold.sources.raw import LOAD_ID, append_load
 
@@ -109,3 +111,119 @@ def test_reset_drops_everything(layers, spark, frame):
     layers.reset()
     layers.create()
     assert layers.tables("silver") == []
+
+
+# --- only what a new load touches --------------------------------------------------------------------
+
+def two_sources():
+    def staged(name):
+        return Model(f"stg.{name}", lambda table: staging(table(f"raw.{name}"), ["a"]), (f"raw.{name}",))
+
+    return [staged("t"), staged("u"),
+            Model("silver.t", lambda table: table("stg.t").select("a"), ("stg.t",)),
+            Model("silver.u", lambda table: table("stg.u").select("a"), ("stg.u",)),
+            Model("silver.both", lambda table: table("silver.t").union(table("stg.u").select("a")),
+                  ("silver.t", "stg.u"))]
+
+
+def load(layers, frame, name, value, load_id):
+    append_load(frame([(value,)], "a int"), layers.qualified(f"raw.{name}"), load_id, WHEN)
+
+
+@pytest.fixture
+def two(layers, frame):
+    for name, value in (("t", 1), ("u", 2)):
+        load(layers, frame, name, value, "L1")
+    refresh(layers, two_sources())
+    return layers
+
+
+def newly(layers, **more):
+    return {s.table: s.action for s in refresh(layers, two_sources(), restate=False, new_loads=True, **more)}
+
+
+def test_sources_below_each_model():
+    assert sources_of(two_sources()) == {
+        "stg.t": ("raw.t",), "stg.u": ("raw.u",), "silver.t": ("raw.t",), "silver.u": ("raw.u",),
+        "silver.both": ("raw.t", "raw.u")}
+
+
+def test_a_new_load_builds_what_lies_above_it(two, frame, rows):
+    assert set(newly(two).values()) == {"keep"}
+    load(two, frame, "t", 10, "L2")
+    built = {"stg.t": "build", "stg.u": "keep", "silver.t": "build", "silver.u": "keep", "silver.both": "build"}
+    assert newly(two, dry_run=True) == built and rows(two.table("silver.both")) == [(1,), (2,)]
+    assert newly(two) == built
+    found = {name: rows(two.table(name)) for name in built}
+    refresh(two, two_sources())
+    assert found == {name: rows(two.table(name)) for name in built}
+    assert found["silver.both"] == [(2,), (10,)]
+    assert set(newly(two).values()) == {"keep"}
+
+
+def test_a_load_written_again_counts_as_new(two, frame, rows):
+    load(two, frame, "u", 20, "L1")
+    assert newly(two)["silver.u"] == "build" and rows(two.table("silver.both")) == [(1,), (20,)]
+
+
+def test_a_table_left_behind_is_caught_up(two, frame, rows):
+    """Staging saw the load, the target did not, as after a run that failed in between."""
+    load(two, frame, "u", 30, "L2")
+    staged = [m for m in two_sources() if m.name == "stg.u"]
+    refresh(two, staged)
+    assert newly(two) == {"stg.t": "keep", "stg.u": "keep", "silver.t": "keep", "silver.u": "build",
+                          "silver.both": "build"}
+    assert rows(two.table("silver.u")) == [(30,)]
+
+
+def test_a_source_without_marks_is_always_built(layers, spark, frame, rows):
+    frame([(1,)], "a int").write.saveAsTable(layers.qualified("raw.plain"))
+    model = [Model("silver.plain", lambda table: table("raw.plain"), ("raw.plain",))]
+    refresh(layers, model)
+    assert [s.reason for s in refresh(layers, model, restate=False, new_loads=True)] == ["new load of raw.plain"]
+
+
+def entries(layers):
+    return [t for t in layers.spark.catalog.listTables(layers.qualified("silver")) if not t.isTemporary]
+
+
+# --- replaced whole or not at all ------------------------------------------------------------------------
+
+def test_a_failed_rebuild_leaves_the_old_rows(layers, spark, frame, rows):
+    layers.replace(frame([(1, "a"), (2, "b")], "a int, b string"), "silver.t")
+    bad = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("broken row"))).otherwise("x").alias("z"))
+    with pytest.raises(Exception, match="broken row"):
+        layers.replace(bad, "silver.t")
+    assert rows(layers.table("silver.t")) == rows(spark.table(layers.qualified("silver.t"))) == [(1, "a"), (2, "b")]
+    assert layers.tables("silver") == ["t"]
+    assert len(entries(layers)) == 2  # the view and its one version
+
+
+def test_readers_keep_the_rows_they_began_with(layers, spark, frame, rows):
+    layers.replace(frame([(1,)], "a int"), "silver.t")
+    reader = layers.table("silver.t")
+    layers.replace(frame([("x", 2.5)], "b string, c double"), "silver.t")
+    assert rows(reader) == [(1,)]
+    assert rows(spark.table(layers.qualified("silver.t"))) == [("x", 2.5)]
+    layers.replace(layers.table("silver.t").select("b"), "silver.t")  # from its own rows
+    assert rows(layers.table("silver.t")) == [("x",)] and layers.table("silver.t").columns == ["b"]
+    assert len(entries(layers)) == 3  # the view, this version and the one before
+    layers.drop_previous("silver.t")
+    assert len(entries(layers)) == 2
+
+
+def test_a_plain_table_becomes_a_versioned_one(layers, spark, frame, rows):
+    frame([(1,)], "a int").write.saveAsTable(layers.qualified("silver.t"))
+    assert layers.tables("silver") == ["t"] and rows(layers.table("silver.t")) == [(1,)]
+    layers.replace(frame([(2,)], "a int"), "silver.t")
+    assert layers.tables("silver") == ["t"] and rows(layers.table("silver.t")) == [(2,)]
+
+
+def test_plan_setting_is_put_back_by_the_last_refresh(layers, spark):
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key)
+    with _whole_plans(spark):
+        with _whole_plans(spark):
+            pass
+        assert spark.conf.get(key) == "100000"
+    assert spark.conf.get(key) == before

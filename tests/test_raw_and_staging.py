@@ -5,9 +5,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from stratafold.functions.types import wider_type
 from stratafold.operators.latest import latest_load, staging
 from stratafold.sources import raw, sinks, tables
-from stratafold.sources.raw import LOAD_ID, LOAD_TIME
+from stratafold.sources.raw import LOAD_ID, LOAD_TIME, append_load
 
 WHEN = "2024-01-01 10:00:00"
 
@@ -129,3 +130,63 @@ def test_sinks(layers, frame, rows):
     assert layers.table("silver.t").count() == 2
     with pytest.raises(ValueError, match="unknown destination"):
         sinks.write_to(df, "paper", "t")
+
+
+# --- types that change between loads ---------------------------------------------------------------------
+
+WIDER = [
+    ("int", "bigint", "bigint"), ("tinyint", "smallint", "smallint"), ("bigint", "int", "bigint"),
+    ("float", "double", "double"), ("int", "double", "double"), ("date", "timestamp_ntz", "timestamp_ntz"),
+    ("decimal(6,2)", "decimal(12,4)", "decimal(12,4)"), ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"),
+    ("int", "decimal(5,2)", "decimal(12,2)"), ("string", "string", "string"),
+    ("bigint", "double", None), ("float", "bigint", None), ("string", "int", None), ("date", "string", None),
+    ("decimal(38,2)", "decimal(38,10)", None), ("decimal(5,2)", "double", None), ("date", "timestamp", None),
+    ("boolean", "int", None)]
+
+
+@pytest.mark.parametrize("one, other, both", WIDER)
+def test_wider_type(one, other, both):
+    kind = lambda name: T.StructType.fromDDL(f"c {name}")[0].dataType
+    want = kind(both) if both else None
+    assert wider_type(kind(one), kind(other)) == wider_type(kind(other), kind(one)) == want
+
+
+FIRST = "SELECT 1 AS a, 2 AS b, DATE'2024-01-02' AS d, CAST(1.25 AS DECIMAL(6,2)) AS m, CAST(0.5 AS FLOAT) AS f, 'x' AS s"
+SECOND = """SELECT 5000000000 AS a, CAST(7 AS TINYINT) AS b, TIMESTAMP_NTZ'2024-01-02 10:30:00' AS d,
+    CAST(123456789.0625 AS DECIMAL(14,4)) AS m, 0.1D AS f, 'y' AS s"""
+
+
+@pytest.mark.parametrize("managed", [False, True])
+def test_earlier_loads_are_read_under_wider_types(layers, spark, rows, managed):
+    """A table created with widen keeps its files; one created without is rewritten once."""
+    table = layers.qualified("raw.t")
+    append_load(spark.sql(FIRST), table, "L1", WHEN, widen=not managed)
+    files = set(spark.table(table).inputFiles())
+    append_load(spark.sql(SECOND), table, "L2", WHEN, widen=True)
+    assert (files <= set(spark.table(table).inputFiles())) is not managed
+    assert [t for _, t in spark.table(table).drop("_load_id", "_load_time").dtypes] == [
+        "bigint", "int", "timestamp_ntz", "decimal(14,4)", "double", "string"]
+    found = spark.table(table).orderBy("_load_id").drop("_load_time").collect()
+    day = datetime(2024, 1, 2)
+    assert [tuple(r) for r in found] == [
+        (1, 2, day, Decimal("1.2500"), 0.5, "x", "L1"),
+        (5000000000, 7, day.replace(hour=10, minute=30), Decimal("123456789.0625"), 0.1, "y", "L2")]
+    append_load(spark.sql(FIRST), table, "L3", WHEN, widen=True)  # narrower again: stored under the wide types
+    assert spark.table(table).where("_load_id = 'L3' and a = 1").count() == 1
+    assert spark.table(table).count() == 3 and not spark.catalog.tableExists(table + "__wide")
+
+
+def test_types_without_a_common_one_are_refused(layers, spark):
+    table = layers.qualified("raw.t")
+    append_load(spark.sql("SELECT 1 AS a, 2L AS b"), table, "L1", WHEN, widen=True)
+    with pytest.raises(ValueError, match="a: int and string, b: bigint and double"):
+        append_load(spark.sql("SELECT 'one' AS a, 2D AS b"), table, "L2", WHEN, widen=True)
+    assert spark.table(table).count() == 1
+
+
+def test_a_widening_that_was_cut_off_is_taken_up(layers, spark):
+    table = layers.qualified("raw.t")
+    append_load(spark.sql("SELECT 1 AS a"), table, "L1", WHEN, widen=True)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__wide")
+    append_load(spark.sql("SELECT 2L AS a"), table, "L2", WHEN, widen=True)
+    assert sorted(r.a for r in spark.table(table).collect()) == [1, 2]
