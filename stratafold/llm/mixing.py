@@ -18,9 +18,9 @@ DIMENSIONS = ("source", "lang", "topic")
 KEEP = 0.5
 TEMPERATURE = 0.7
 ROUNDS_A_STEP = 3
-MOST_STEPS = 8
+MOST_STEPS = 16
 CLOSE = 1e-6
-STALLED = 0.95
+STALLED = 0.98
 _SMALL_BYTES = 8 << 20
 _SEED = 9
 
@@ -51,26 +51,29 @@ def tempered(cells: DataFrame, dimension: str, temperature: float = TEMPERATURE)
     return sums.select("key", (F.col("w") / F.lit(whole) if whole else F.lit(0.0)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], keep: float = KEEP) -> DataFrame:
-    """The cells with ``fit``, their share of the mixture.
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], keep: float = KEEP,
+         most_steps: int = MOST_STEPS) -> DataFrame:
+    """The cells with ``fit``, their share of the mixture, and ``gap``, the largest difference that
+    is left between a category's share and its target.
 
     ``targets`` has (key, share) for each dimension; a category without a target gets nothing,
     and shares of categories that have no tokens fall to the others in proportion. No cell gets
     more than its tokens over ``keep`` of all tokens, as a document is taken once at most; where
-    that or empty cells make the targets unreachable, raking ends when the largest gap no longer
-    shrinks, and the last round stands.
+    that or empty cells make the targets unreachable, or strongly tied categories let them be
+    reached but slowly, raking ends when a step of three rounds shrinks the largest gap by less
+    than a fiftieth, or after ``most_steps`` steps; the last round stands, and ``gap`` tells.
     """
     total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     if not total:
-        return cells.withColumn("fit", F.lit(0.0))
+        return cells.withColumn("fit", F.lit(0.0)).withColumn("gap", F.lit(0.0))
     now = cells.withColumn("fit", F.col("tokens") / F.lit(total)).withColumn(
         "top", F.col("tokens") / F.lit(total * keep))
     for dimension, target in targets.items():
         goal = target.select(F.col("key").alias("_key"), F.col("share").cast("double").alias(f"goal_{dimension}"))
         now = now.join(goal, now[dimension] == F.col("_key"), "left").drop("_key").withColumn(
             f"goal_{dimension}", F.coalesce(f"goal_{dimension}", F.lit(0.0)))
-    last = float("inf")
-    for _ in range(MOST_STEPS):
+    last = gap = float("inf")
+    for _ in range(most_steps):
         for _ in range(ROUNDS_A_STEP):
             for dimension in targets:
                 # Only cells pass here, one for each combination of categories.
@@ -86,12 +89,12 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], keep: float = KEEP)
         if gap < CLOSE or gap > STALLED * last:
             break
         last = gap
-    return now.select(*cells.columns, "fit")
+    return now.select(*cells.columns, "fit", F.lit(float(gap)).alias("gap"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensions: tuple[str, ...] = DIMENSIONS,
         targets: Mapping[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """The rows with ``mix_tokens``, ``mix_topic``, ``mix_probability`` and ``mix_kept``.
+    """The rows with ``mix_tokens``, ``mix_topic``, ``mix_probability``, ``mix_gap`` and ``mix_kept``.
 
     ``dimensions`` are columns; ``topic`` stands for the form of the text where there is no such
     column. Targets are shares of the tokens to keep (``keep`` of all); left out, they are the
@@ -115,14 +118,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensi
     fitted = rake(cells, goals, keep)
     total = cells.agg(F.sum("tokens").cast("double")).first()[0] or 0.0
     share = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("fit") * (total * keep) / F.col("tokens"))).otherwise(1.0)
-    odds = fitted.select(*[F.col(c).alias(f"_to{i}") for i, c in enumerate(cats)], share.alias("mix_probability"))
+    odds = fitted.select(*[F.col(c).alias(f"_to{i}") for i, c in enumerate(cats)], share.alias("mix_probability"),
+                         F.col("gap").alias("mix_gap"))
     width = sum((F.octet_length(c) for c in cats), F.lit(40 * (len(cats) + 1)))
     if (cells.agg(F.sum(width)).first()[0] or 0) <= _SMALL_BYTES:
         odds = F.broadcast(odds)
     match = F.lit(True)
     for i, c in enumerate(cats):
         match = match & (F.col(c) == F.col(f"_to{i}"))
-    joined = marked.drop("mix_probability", "mix_kept").join(odds, match, "left")
+    joined = marked.drop("mix_probability", "mix_gap", "mix_kept").join(odds, match, "left")
     place = F.when(F.col(id_col).isNull(), F.xxhash64(F.lit(_SEED), text_col)).otherwise(
         F.xxhash64(F.lit(_SEED), id_col))
     uniform = F.shiftrightunsigned(place, 11).cast("double") / float(1 << 53)
@@ -133,4 +137,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensi
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "lang", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("tokens"),
-                        F.col("mix_probability").alias("probability"), F.col("mix_kept").alias("kept"))
+                        F.col("mix_probability").alias("probability"), F.col("mix_gap").alias("gap"),
+                        F.col("mix_kept").alias("kept"))

@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
 from stratafold.llm.common import stored, table, with_columns_by_batch
@@ -201,14 +201,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("the index finds up to three differing bits")
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     prints = stored(with_fingerprint(own, "_text", shingle).drop("_text"), "fingerprints")
-    least = stored(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("_id").alias("least")), "least")
+    of = _least_of_groups(prints, "_id", max_bits).withColumnRenamed("least", "component_id")
+    return prints.join(of, prints["fingerprint"] == of["fp"], "left").select(
+        F.col("_id").alias(id_col), "fingerprint", "component_id")
+
+
+def _least_of_groups(prints: DataFrame, column: str, max_bits: int) -> DataFrame:
+    """(fp, least): by fingerprint, the least value of a column among all rows of its group."""
+    least = stored(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(column).alias("least")), "least")
     roots = stored(components(near_edges(least.select("fp"), max_bits)), "roots")
     names = (roots.join(least, roots["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("name")))
     named = roots.join(names, "root").select(F.col("node"), "name")
-    of = least.join(named, least["fp"] == named["node"], "left").select(
-        "fp", F.coalesce("name", "least").alias("component_id"))
-    return prints.join(of, prints["fingerprint"] == of["fp"], "left").select(
-        F.col("_id").alias(id_col), "fingerprint", "component_id")
+    return least.join(named, least["fp"] == named["node"], "left").select(
+        "fp", F.coalesce("name", "least").alias("least"))
 
 
 def hex_of(column: str):
@@ -217,17 +222,26 @@ def hex_of(column: str):
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The row with the smallest id of each group of near duplicates, with its columns.
+    """One row of each group of near duplicates, with its columns.
 
-    Of several rows with that id one stays. Rows without an id stay.
+    It is the row with the smallest id, and of rows with that id the one whose text has the
+    smallest hash; rows without an id come last. So rows of one id in different groups all stay.
+    Of rows with the same id and text that with the smallest hash of all its columns stays.
     """
-    groups = near_groups(docs, id_col, text_col, shingle, max_bits)
-    names = groups.select(F.col("component_id").alias("_keep")).where("_keep is not null").distinct()
-    kept = docs.join(names, docs[id_col] == F.col("_keep"), "left_semi")
-    ids = stored(kept.select(id_col), "kept")
-    if ids.count() > ids.distinct().count():
-        kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    if not 0 <= max_bits <= 3:
+        raise ValueError("the index finds up to three differing bits")
+    tag = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                   F.sha1(F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))).alias("text"),
+                   F.col(text_col).isNull().alias("empty"))
+    prints = stored(with_fingerprint(docs.select(F.col(text_col).alias("_text"), tag.alias("_tag")), "_text", shingle)
+                    .drop("_text"), "fingerprints")
+    keep = stored(_least_of_groups(prints, "_tag", max_bits).select(F.col("least").alias("_keep")).distinct(), "keep")
+    kept = docs.withColumn("_tag", tag).join(keep, F.col("_tag") == F.col("_keep"), "left_semi")
+    again = prints.groupBy("_tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not again.join(keep, F.col("_tag") == F.col("_keep"), "left_semi").isEmpty():
+        first = Window.partitionBy("_tag").orderBy(F.xxhash64(*docs.columns))
+        kept = kept.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return kept.select(*docs.columns)
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

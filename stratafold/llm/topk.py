@@ -22,23 +22,27 @@ QUERY_BLOCK = 1024
 MOST_RANGES = 4096
 _SEED = 4096
 _EXACT = 2.0 ** 53
-_LARGEST = 2.0 ** 62
+_ORDINARY = 2.0 ** 31
+_LONG = 1 << 63
 
 
 def whole_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                   factor: float = 256.0) -> DataFrame:
     """(id, v, norm): components turned to floor(factor * x); unusable vectors left out.
 
-    Left out are rows without an id, null vectors, vectors that hold a null, a NaN or an
-    infinity, and those whose scores would leave the range of a long.
+    Left out are rows without an id, null vectors, and vectors that hold a null, a NaN or an
+    infinity, also one that ``factor * x`` comes to.
     """
-    v = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * factor).cast("double"))
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > 1e300)
+    # Beyond 2 ** 53 a double is whole already, and beyond a long floor() would be cut off.
+    scaled = lambda x: x.cast("double") * factor
+    v = F.transform(F.col(vector_col), lambda x: F.when(F.abs(scaled(x)) < _EXACT, F.floor(scaled(x)).cast("double"))
+                    .otherwise(scaled(x)))
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     good = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()
-                    & ~F.exists(vector_col, lambda x: bad(x.cast("double"))))
+                    & ~F.exists(vector_col, lambda x: bad(x.cast("double") * factor)))
     out = good.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return out.withColumn("norm", norm).where(F.col("norm") < _LARGEST ** 0.5)
+    return out.withColumn("norm", norm)
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -62,22 +66,45 @@ def _rotation(vectors: DataFrame, dims: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(dims * dims, dtype=np.int32)), pa.array(total.ravel())], names=["at", "s"])
 
-    found = vectors.select("v").mapInArrow(moments, "at int, s double").groupBy("at").agg(F.sum("s")).toArrow()
+    # Any axes give true bounds; very long vectors would only drown the others.
+    ordinary = vectors.where(F.col("norm") < _ORDINARY)
+    found = ordinary.select("v").mapInArrow(moments, "at int, s double").groupBy("at").agg(F.sum("s")).toArrow()
     total = np.zeros(dims * dims)
     total[found.column(0).to_numpy()] = found.column(1).to_numpy()
     return np.linalg.eigh(total.reshape(dims, dims))[1][:, ::-1].copy()
 
 
-def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of a with those of b as longs, without rounding."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] >= _EXACT:
-        return a.astype(np.int64) @ b.astype(np.int64).T
-    return (a @ b.T).astype(np.int64)
-
-
-def _best(ids: np.ndarray, scores: np.ndarray, own: int, floor: float, k: int):
+def _large(x: np.ndarray) -> np.ndarray:
+    """Rows whose products may leave the range in which longs are added without care."""
+    with np.errstate(over="ignore"):
+        return ~(np.sqrt((x * x).sum(1)) < _ORDINARY)
+
+
+def exact_scores(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Inner products of the rows of a with those of b as longs, without rounding, and which of them
+    a long can hold (None: all)."""
+    if not a.size or not b.size or np.abs(a).max() * np.abs(b).max() * a.shape[1] < _EXACT:
+        return (a @ b.T).astype(np.int64), None
+    large_a, large_b = _large(a), _large(b)
+    out = np.zeros((len(a), len(b)), np.int64)
+    out[np.ix_(~large_a, ~large_b)] = a[~large_a].astype(np.int64) @ b[~large_b].astype(np.int64).T
+    if not large_a.any() and not large_b.any():
+        return out, None
+    # Whole numbers of any size where one side is very long.
+    holds = np.ones(out.shape, bool)
+    as_whole = np.vectorize(int, otypes=[object])
+    for rows, columns in ((large_a, np.ones(len(b), bool)), (~large_a, large_b)):
+        if rows.any() and columns.any():
+            found = as_whole(a[rows]) @ as_whole(b[columns]).T
+            fits = np.vectorize(lambda s: -_LONG <= s < _LONG, otypes=[bool])(found)
+            holds[np.ix_(rows, columns)] = fits
+            out[np.ix_(rows, columns)] = np.where(fits, found, 0).astype(np.int64)
+    return out, holds
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, own: int, floor: float, k: int, holds: np.ndarray | None = None):
     """The k best of one query's candidates that reach its floor, ties to the smaller id."""
-    at = np.flatnonzero((scores >= floor) & (ids != own))
+    at = np.flatnonzero((scores >= floor) & (ids != own) & (True if holds is None else holds))
     if len(at) > 4 * k:
         cut = np.partition(scores[at], len(at) - k)[len(at) - k]
         at = at[scores[at] >= cut]
@@ -90,7 +117,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
 
     Both frames have (id, v, norm) as from ``whole_vectors``; a candidate with the query's own
     id takes no part. Ties go to the smaller id, repeated candidates count each. Queries with
-    fewer candidates than k return all; shorter vectors count as filled with zeros.
+    fewer candidates than k return all; shorter vectors count as filled with zeros. A pair whose
+    score is beyond a long has none, and only that pair is left out.
     """
     spark = candidates.sparkSession
     candidates, queries = stored(candidates, "candidates"), stored(queries, "queries")
@@ -127,10 +155,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
             for i in range(batch.num_rows):
                 ids, x = rows_of(batch.column(1).slice(i, 1))
                 seeds, y = rows_of(batch.column(3).slice(i, 1))
-                found = exact_scores(x, y)
+                found, holds = exact_scores(x, y)
                 least = []
-                for q, row in zip(ids, found):
-                    best = _best(seeds, row, q, -np.inf, k)[1]
+                for j, (q, row) in enumerate(zip(ids, found)):
+                    best = _best(seeds, row, q, -np.inf, k, None if holds is None else holds[j])[1]
                     least.append(float(best[-1]) if len(best) == k else -np.inf)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), batch.column(2).slice(i, 1),
@@ -149,18 +177,22 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
                 ids, y = rows_of(batch.column(0).slice(i, 1))
                 own, x = rows_of(batch.column(1).slice(i, 1))
                 floor = batch.column(2)[i].values.to_numpy()
-                ry, rx = y @ axes, x @ axes
+                # Very long vectors are never left out by a bound, which rounding could spoil.
+                large_y, large_x = _large(y), _large(x)
+                ry, rx = np.where(large_y[:, None], 0, y) @ axes, np.where(large_x[:, None], 0, x) @ axes
                 rest_y = np.sqrt((ry[:, head:] ** 2).sum(1))
                 rest_x = np.sqrt((rx[:, head:] ** 2).sum(1))
                 slack = 1e-9 * (np.abs(rx).max(initial=1) * np.abs(ry).max(initial=1) * dims + 1) + 1e-6
                 bound = rx[:, :head] @ ry[:, :head].T + rest_x[:, None] * rest_y[None, :] + slack
+                bound[large_x], bound[:, large_y] = np.inf, np.inf
                 alive = (bound >= floor[:, None]).any(0)
                 alive_q = np.flatnonzero((bound >= floor[:, None]).any(1))
                 if not len(alive_q):
                     continue
-                found = exact_scores(x[alive_q], y[alive])
+                found, holds = exact_scores(x[alive_q], y[alive])
                 ids = ids[alive]
-                out = [(own[q], *_best(ids, row, own[q], floor[q], k)) for q, row in zip(alive_q, found)]
+                out = [(own[q], *_best(ids, row, own[q], floor[q], k, None if holds is None else holds[j]))
+                       for j, (q, row) in enumerate(zip(alive_q, found))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat([q for q, _, _ in out], [len(b) for _, b, _ in out]), pa.int64()),
                      pa.array(np.concatenate([b for _, b, _ in out]), pa.int64()),

@@ -122,7 +122,7 @@ def test_simhash_odd_rows(odd, empty):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(4) == 1 and None in ids and 2 not in ids
+    assert sorted(ids, key=str) == [1, 4, 5, 6, 7, 8, 9, None]
     assert simhash.near_groups(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
@@ -271,6 +271,41 @@ def test_queries_with_sql(spark, name):
     assert rows == sorted(map(str, want.fetchall()))
 
 
+def test_keep_one_keeps_a_row_of_each_group(spark):
+    """Whatever their ids: repeated ids with several texts, copies without an id, rows that repeat."""
+    a, b, c = ("one two three four five six seven eight", "quite another text, about nothing much at all",
+               "und noch ein Text, der anders ist")
+    data = [(1, a, 1), (1, b, 2), (2, a, 3), (2, b, 4), (None, a, 5), (None, c, 6), (None, c, 7), (3, None, 8), (4, "", 9),
+            (5, "x y z", 10), (5, "x y z", 11)]
+    found = []
+    for parts in (1, 5):
+        df = spark.createDataFrame(data, "doc_id bigint, text string, _id int").repartition(parts)
+        kept = simhash.keep_one(df)
+        assert kept.columns == df.columns
+        found.append(sorted((tuple(r) for r in kept.collect()), key=str))
+    assert found[0] == found[1]
+    assert sorted(((i, t) for i, t, _ in found[0]), key=str) == sorted(
+        [(1, a), (1, b), (None, c), (3, None), (5, "x y z")], key=str)
+
+
+def test_top_k_of_very_long_vectors(spark, monkeypatch):
+    """Long components take part; only a pair whose score no long can hold is left out."""
+    monkeypatch.setattr(topk, "BLOCK", 4)
+    data = [(0, [3.0, 4.0]), (1, [9e6, -9e6]), (2, [8e6, 8.5e6]), (50, [-1.0, 2.0]), (51, [1e15, 2e15]), (52, [1e200, 1.0]),
+            (53, [1e306, 0.0]), (54, [float(2 ** 54), -3.0])]
+    df = spark.createDataFrame(data, "vec_id bigint, embedding array<double>").selectExpr("*", "7 id", "'x' norm")
+    vectors = topk.whole_vectors(df)
+    used = {r.id: [int(x) for x in r.v] for r in vectors.collect()}
+    assert sorted(used) == [0, 1, 2, 50, 51, 52, 54] and used[54] == [2 ** 62, -768]
+    found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(vectors, vectors).collect()}
+    want = {}
+    for q, x in used.items():
+        scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in used.items() if i != q)
+        inside = [(-s, i) for s, i in scores if -2 ** 63 <= -s < 2 ** 63]
+        want |= {(q, n): (i, s) for n, (s, i) in enumerate(inside[:5], 1)}
+    assert found == want and len(want) > 10
+
+
 def test_top_k_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 16)
     monkeypatch.setattr(topk, "_SEED", 8)
@@ -282,12 +317,12 @@ def test_top_k_odd_vectors(spark, monkeypatch):
     df = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
     vectors = topk.whole_vectors(df)
     used = [(r.id, [int(x) for x in r.v]) for r in vectors.collect()]
-    assert {i for i, _ in used} == set(range(180)) | {904, 906}
+    assert {i for i, _ in used} == set(range(180)) | {904, 905, 906}
     found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(vectors.where("id % 50 = 0"), vectors).collect()}
     want = {}
     for q, x in used:
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in used if i != q)
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in used if i not in (q, 905))
             want |= {(q, n): (i, -s) for n, (s, i) in enumerate(scores[:5], 1)}
     assert found == want
     few = topk.top_k(vectors.where("id = 0"), vectors.where("id < 3"))
@@ -546,6 +581,19 @@ def test_mixing_equals_plain_raking(spark):
         assert abs(r.mix_probability - fit[c] * total * 0.3 / cells[c]) < 1e-4
     kept = sum(r.mix_tokens for r in found if r.mix_kept) / total
     assert 0.2 < kept < 0.4
+    assert {r.mix_gap for r in found} == {found[0].mix_gap} and found[0].mix_gap < mixing.CLOSE
+
+
+def test_mixing_tells_the_gap_that_is_left(spark):
+    """Targets that can be met are; unreachable ones are told by their gap."""
+    data = [(i, "w " * n, s, la, "t") for i, (n, s, la) in enumerate(
+        [(50, "a", "en"), (30, "a", "de"), (30, "b", "en"), (50, "b", "de"), (10, "c", "en")])]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string, lang string, topic string")
+    goal = lambda **shares: spark.createDataFrame(list(shares.items()), "key string, share double")
+    even = {"source": goal(a=.5, b=.45, c=.05), "lang": goal(en=.5, de=.5), "topic": goal(t=1.0)}
+    assert mixing.mix(df, targets=even, keep=0.5).first().mix_gap < mixing.CLOSE
+    crossed = {**even, "source": goal(c=1.0)}
+    assert mixing.mix(df, targets=crossed, keep=0.5).first().mix_gap > 0.5
 
 
 def test_mixing_odd_rows(odd, empty):
