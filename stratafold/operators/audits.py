@@ -1,7 +1,8 @@
 """Non-blocking data-quality checks: each returns the violating rows of a table.
 
 ``summarise`` runs a whole suite: the key, nulls and lengths of a table share one scan
-and one shuffle, orphans are counted per distinct reference value.
+and one shuffle, orphans are counted per distinct reference value. Nulls and lengths that were
+measured while a table was written are not counted again; its key alone is read then.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.contract import TableContract
+from stratafold.functions.rows import rows_frame
 from stratafold.operators import joins
 
 
@@ -45,6 +47,20 @@ class Audit:
     limit: int | None = None
     parent: tuple[str, str] | None = None
 
+    @property
+    def key(self) -> str:
+        """What the check counts, for a count taken earlier."""
+        return "|".join(map(str, (self.table, self.name, self.kind, self.column, self.limit)))
+
+    @property
+    def measure(self) -> F.Column | None:
+        """The violations as one aggregate over the table's rows; None if rows must be compared."""
+        if self.kind == "pk_not_null":
+            return F.count_if(F.col(self.column).isNull())
+        if self.kind == "max_length":
+            return F.count_if(F.length(F.col(self.column).cast("string")) > self.limit)
+        return None
+
     def violations(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         df = tables[self.table]
         if self.kind == "pk_not_null":
@@ -107,11 +123,7 @@ def _table_counts(df: DataFrame, audits: list[Audit]) -> list[DataFrame]:
     zero = F.lit(0).cast("bigint")
     key_sets = list(dict.fromkeys(
         tuple(sorted(a.column.split(", "))) for a in audits if a.kind == "pk_unique"))
-    counts = {
-        i: F.count_if(F.col(a.column).isNull() if a.kind == "pk_not_null"
-                      else F.length(F.col(a.column).cast("string")) > a.limit)
-        for i, a in enumerate(audits) if a.kind != "pk_unique"
-    }
+    counts = {i: a.measure for i, a in enumerate(audits) if a.kind != "pk_unique"}
     parts = []
     for at, keys in enumerate(key_sets or [()]):
         carried = counts if at == 0 else {}
@@ -140,10 +152,20 @@ def _orphan_count(audit: Audit, tables: Mapping[str, DataFrame]) -> DataFrame:
     return _unpivot(total, [_row(audit, F.col("lost"))])
 
 
-def summarise(tables: Mapping[str, DataFrame], audits: Iterable[Audit]) -> DataFrame:
-    """One row per audit: how many violations, and whether it passed."""
-    audits = list(audits)
+def summarise(tables: Mapping[str, DataFrame], audits: Iterable[Audit],
+              measured: Mapping[str, int] | None = None) -> DataFrame:
+    """One row per audit: how many violations, and whether it passed.
+
+    ``measured`` has, by ``Audit.key``, the violations counted when a table was written.
+    """
+    audits, measured = list(audits), measured or {}
+    known = [(a.table, a.name, a.kind, a.column, measured[a.key]) for a in audits if a.key in measured]
+    audits = [a for a in audits if a.key not in measured]
     parts = []
+    if known:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(rows_frame(spark, known, "table_name string, audit string, kind string, "
+                                              "column_name string, violations bigint"))
     for table in dict.fromkeys(a.table for a in audits):
         own = [a for a in audits if a.table == table and a.kind != "fk_orphan"]
         if own:

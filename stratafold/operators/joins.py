@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 _KINDS = ("inner", "left", "left_semi", "left_anti")
 _REPEAT_BLOCK = 10_000
+FEW_COPIES = 64
 JOIN_ON_TRUE_BYTES = 1 << 20
 
 
@@ -49,9 +50,18 @@ def with_matches(left: DataFrame, right: DataFrame, on: Mapping[str, str], match
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times (a column, dropped).
 
-    Copies are made in blocks, and the blocks are dealt out before their copies are made, so
-    that no array grows large and the copies of one row come from many tasks.
+    Rows of few copies stay where they are. Those of more are made in blocks, and the blocks are
+    dealt out before their copies are made, so that no array grows large and the copies of one
+    row come from many tasks.
     """
+    first, bound = F.lit(1).cast("bigint"), F.lit(FEW_COPIES).cast("bigint")
+    few = (df.where((F.col(times) > 0) & (F.col(times) <= bound))
+           .withColumn("_copy", F.explode(F.sequence(first, F.col(times).cast("bigint"))))
+           .drop(times, "_copy"))
+    return few.unionByName(_repeat_many(df.where(F.col(times) > bound), times))
+
+
+def _repeat_many(df: DataFrame, times: str) -> DataFrame:
     last_block = F.floor((F.col(times) - 1) / _REPEAT_BLOCK)
     in_block = F.least(F.lit(_REPEAT_BLOCK).cast("bigint"),
                        F.col(times) - F.col("_block") * _REPEAT_BLOCK)
@@ -59,8 +69,7 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     content = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.where(F.col(times) > 0)
-        .withColumn("_block", F.explode(F.sequence(zero, last_block)))
+        df.withColumn("_block", F.explode(F.sequence(zero, last_block)))
         .repartition(parts, *content, "_block")
         .withColumn("_copy", F.explode(F.sequence(one, in_block)))
         .drop(times, "_block", "_copy")

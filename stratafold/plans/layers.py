@@ -14,8 +14,9 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from stratafold.operators.audits import Audit
 from stratafold.plans.models import Model
 from stratafold.sources.raw import append_load, last_write, load_ids
 from stratafold.sources.tables import row_limit
@@ -25,6 +26,7 @@ _FINGERPRINT = "stratafold.definition"
 _SEEN = "stratafold.seen_loads"
 _VERSION = "stratafold.version"
 _PREVIOUS = "stratafold.previous"
+_MEASURED = "stratafold.measured"
 _IS_VERSION = re.compile(r"(.+)__v[0-9a-f]{12}$")
 _PARALLEL_TABLES = 8
 
@@ -99,16 +101,23 @@ class Layers:
         frames = {name: self.table(f"{layer}.{name}") for name in self.tables(layer)}
         return {name: df for name, df in frames.items() if df.columns}
 
-    def replace(self, df: DataFrame, name: str, definition: str = "", seen: Mapping[str, str] | None = None) -> None:
+    def replace(self, df: DataFrame, name: str, definition: str = "", seen: Mapping[str, str] | None = None,
+                audits: Iterable[Audit] = ()) -> None:
         """Full refresh of one table: the next version is written, then the view is moved to it.
 
         A write that fails leaves the old rows as they were. ``seen`` are the marks of the raw
-        tables the rows were made from. The version before the last one is dropped.
+        tables the rows were made from. The version before the last one is dropped. Those of the
+        ``audits`` of this table that count rows one by one are measured while it is written.
         """
         target = self.qualified(name)
         version = f"{target}__v{uuid.uuid4().hex[:12]}"
+        own = [a for a in audits if a.table == name.rsplit(".", 1)[-1] and a.measure is not None]
+        watched = Observation()
+        if own:
+            df = df.observe(watched, *[a.measure.alias(f"m{i}") for i, a in enumerate(own)])
         try:
             df.write.saveAsTable(version)
+            measured = {a.key: watched.get[f"m{i}"] for i, a in enumerate(own)}
         except BaseException:
             self.spark.sql(f"DROP TABLE IF EXISTS {version}")
             raise
@@ -117,7 +126,7 @@ class Layers:
         if known and _VERSION not in before:  # a plain table, stored otherwise
             self.spark.sql(f"DROP TABLE {target}")
         told = {_VERSION: version, _PREVIOUS: before.get(_VERSION, ""), _FINGERPRINT: definition,
-                _SEEN: json.dumps(dict(seen or {}), sort_keys=True)}
+                _SEEN: json.dumps(dict(seen or {}), sort_keys=True), _MEASURED: json.dumps(measured)}
         listed = ", ".join(f"'{key}' = '{value}'" for key, value in told.items())
         self.spark.sql(f"CREATE OR REPLACE VIEW {target} TBLPROPERTIES ({listed}) AS SELECT * FROM {version}")
         if before.get(_PREVIOUS):
@@ -129,11 +138,17 @@ class Layers:
         if previous:
             self.spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
-    def replace_all(self, frames: Mapping[str, DataFrame]) -> None:
+    def replace_all(self, frames: Mapping[str, DataFrame], audits: Iterable[Audit] = ()) -> None:
         """Full refresh of several tables that do not read each other."""
-        in_parallel([lambda name=name, df=df: self.replace(df, name)
+        audits = list(audits)
+        in_parallel([lambda name=name, df=df: self.replace(df, name, audits=audits)
                      for name, df in frames.items()])
 
+    def measured(self, layer: str) -> dict[str, int]:
+        """The audits measured when the tables of a layer were written, by their keys."""
+        told = [self.properties(f"{layer}.{name}").get(_MEASURED) for name in self.tables(layer)]
+        return {key: count for found in told if found for key, count in json.loads(found).items()}
+
     def definition(self, name: str) -> str | None:
         return self.properties(name).get(_FINGERPRINT)
 
@@ -191,7 +206,7 @@ def _whole_plans(spark: SparkSession) -> Iterator[None]:
 
 
 def refresh(layers: Layers, models: Iterable[Model], restate: bool = True,
-            dry_run: bool = False, new_loads: bool = False) -> list[Step]:
+            dry_run: bool = False, new_loads: bool = False, audits: Iterable[Audit] = ()) -> list[Step]:
     """Build the models in their given order and say what was done.
 
     With ``restate`` everything is rebuilt from the raw layer on. Without it a stored
@@ -199,12 +214,12 @@ def refresh(layers: Layers, models: Iterable[Model], restate: bool = True,
     this call, so new loads stay unseen. With ``new_loads`` (and no ``restate``) also those
     models are built that read, directly or through others, a raw table written since their
     rows were made. A dry run only reports; there a model whose sources do not exist yet
-    counts as new.
+    counts as new. ``audits`` are measured in the write where they can be.
     """
     models = list(models)
     with _whole_plans(layers.spark):
         # Taken before anything is built: a load that arrives meanwhile is unseen next time.
-        return _refresh(layers, models, restate, dry_run, new_loads, _marks(layers, models))
+        return _refresh(layers, models, restate, dry_run, new_loads, _marks(layers, models), list(audits))
 
 
 def sources_of(models: Iterable[Model]) -> dict[str, tuple[str, ...]]:
@@ -227,7 +242,7 @@ def _marks(layers: Layers, models: list[Model]) -> dict[str, dict[str, str | Non
 
 
 def _refresh(layers: Layers, models: list[Model], restate: bool, dry_run: bool, new_loads: bool,
-             marks: Mapping[str, dict[str, str | None]]) -> list[Step]:
+             marks: Mapping[str, dict[str, str | None]], audits: list[Audit]) -> list[Step]:
     steps: list[Step] = []
     rebuilt: set[str] = set()
     for wave in _waves(models):
@@ -238,7 +253,8 @@ def _refresh(layers: Layers, models: list[Model], restate: bool, dry_run: bool,
         steps += [Step(model.name, "build" if reason else "keep", reason or "unchanged")
                   for model, reason in planned]
         if not dry_run:
-            in_parallel([lambda model=model: _build(layers, model, marks[model.name]) for model, _ in due])
+            in_parallel([lambda model=model: _build(layers, model, marks[model.name], audits)
+                         for model, _ in due])
     return steps
 
 
@@ -271,10 +287,10 @@ def _reason(layers: Layers, model: Model, rebuilt: set[str], restate: bool,
     return "" if layers.definition(model.name) == current else "definition changed"
 
 
-def _build(layers: Layers, model: Model, marks: Mapping[str, str | None]) -> None:
+def _build(layers: Layers, model: Model, marks: Mapping[str, str | None], audits: list[Audit]) -> None:
     df = model.build(layers.table)
     seen = {table: mark for table, mark in marks.items() if mark is not None}
-    layers.replace(df, model.name, _definition(model, df), seen)
+    layers.replace(df, model.name, _definition(model, df), seen, audits)
 
 
 def ingest(layers: Layers, sources: Mapping[str, DataFrame], load_id: str,
@@ -295,11 +311,11 @@ def ingest(layers: Layers, sources: Mapping[str, DataFrame], load_id: str,
 def run(layers: Layers, sources: Mapping[str, DataFrame], models: Iterable[Model], load_id: str,
         load_time: datetime | str, skip_ingest: bool = False, skip_transform: bool = False,
         restate: bool = True, dry_run: bool = False, max_rows: int | None = None,
-        new_loads: bool = False, widen: bool = False) -> list[Step]:
+        new_loads: bool = False, widen: bool = False, audits: Iterable[Audit] = ()) -> list[Step]:
     """Ingest, then transform; the first failure ends the run. Nothing to do gives no step."""
     steps: list[Step] = []
     if not skip_ingest:
         steps += ingest(layers, sources, load_id, load_time, max_rows, dry_run, widen)
     if not skip_transform:
-        steps += refresh(layers, models, restate, dry_run, new_loads)
+        steps += refresh(layers, models, restate, dry_run, new_loads, audits)
     return steps

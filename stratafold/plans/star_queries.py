@@ -761,8 +761,8 @@ def audit_summary(spark, folder):
     """All checks of the targets, which are stored first because several checks read each."""
     layers = new_layers(spark, "audit")
     built = targets(spark, folder)
-    layers.replace_all({f"silver.{name}": df for name, df in built.items()})
-    return audits.summarise(layers.frames("silver"), suite.target_audits())
+    layers.replace_all({f"silver.{name}": df for name, df in built.items()}, suite.target_audits())
+    return audits.summarise(layers.frames("silver"), suite.target_audits(), layers.measured("silver"))
 
 
 @query(oracle.with_sources(["szclient"], f"""SELECT * FROM ({oracle.target("client")}) c
@@ -778,11 +778,11 @@ def end_to_end(spark, folder):
     """Ingest, transform and store all layers, then audit and check the stored targets."""
     layers = new_layers(spark, "end_to_end")
     run(layers, star_schema.sources(spark, folder), all_models(wide=True, loads=layers.loads),
-        "load_1", LOAD_TIME)
+        "load_1", LOAD_TIME, audits=suite.target_audits())
     stored = layers.frames("silver")
     diff = conformance.schema_diff(
         spark, contracts.TARGETS.select(), conformance.schema_rows(spark, stored))
-    summary = audits.summarise(stored, suite.target_audits())
+    summary = audits.summarise(stored, suite.target_audits(), layers.measured("silver"))
     return summary.withColumn("conforms", F.lit(conformance.conforms(diff, "stored")))
 
 

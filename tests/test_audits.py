@@ -98,3 +98,28 @@ def test_the_shipped_suite():
         "assert_fk_beschikte_voorziening_wet_enum": ("wet_enum", "wet_enum_id"),
         "assert_fk_declaratieregel_client": ("client", "rechtspersoon_id"),
         "assert_fk_declaratieregel_beschikking": ("beschikking", "beschikking_id")}
+
+
+def test_measured_audits_are_not_counted_again(layers, spark, frame, rows):
+    """Nulls and lengths come from the write; only keys and references are read."""
+    suite = [Audit("t", "has_key", "pk_not_null", "k"), Audit("t", "one_key", "pk_unique", "k"),
+             Audit("t", "short", "max_length", "s", limit=2), Audit("t", "known", "fk_orphan", "p", parent=("u", "u")),
+             Audit("u", "u_key", "pk_not_null", "u")]
+    t = frame([(1, "abc", 1), (1, "ab", 9), (None, None, None), (2, "abcd", 1)], "k int, s string, p int")
+    tables = {"silver.t": t, "silver.u": frame([(1,), (None,)], "u int")}
+    layers.replace_all(tables, suite)
+    measured = layers.measured("silver")
+    assert {key.split("|")[1]: n for key, n in measured.items()} == {"has_key": 1, "short": 2, "u_key": 1}
+    found = summarise(layers.frames("silver"), suite, measured)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    read = [line for line in plan(found).split("\n") if "FileScan" in line]
+    assert len(read) == 3 and not any("s#" in line.split("[", 1)[1].split("]")[0] for line in read)
+    assert plan(summarise(layers.frames("silver"), suite)).count("FileScan") == 4
+    assert rows(found) == rows(summarise(layers.frames("silver"), suite))
+    other = [Audit("t", "short", "max_length", "s", limit=3)]  # another limit was not measured
+    assert rows(summarise(layers.frames("silver"), other, measured), "violations") == [(1,)]
+
+
+def test_measures_of_no_rows(layers, frame):
+    layers.replace(frame([], "k int"), "silver.t", audits=[Audit("t", "has_key", "pk_not_null", "k")])
+    assert list(layers.measured("silver").values()) == [0]

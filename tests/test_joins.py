@@ -120,3 +120,15 @@ def test_orphans(skewed, frame, rows):
     parents = frame([(k,) for k in list(range(0, 400, 2)) + [0, 0, None]], "id bigint")
     plain = skewed.where("k % 2 = 1").select("k", "s", "row")
     assert rows(orphans(skewed, "k", parents, "id")) == rows(plain)
+
+
+def test_rows_of_few_copies_are_not_shuffled(spark, rows):
+    df = spark.range(400).select("id", F.when(F.col("id") == 5, 30_000).otherwise(F.col("id") % 3).alias("n"))
+    found = repeat_rows(df, "n")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    few, many = plan.split("Union")[1].split("Exchange")[0], plan.split("Exchange")[1:]
+    assert len(many) == 1 and "Generate explode(sequence(1" in few
+    counted = {r.id: r["count"] for r in found.groupBy("id").count().collect()}
+    assert counted == {**{i: i % 3 for i in range(400) if i % 3}, 5: 30_000}
+    spread = found.where("id = 5").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread >= 2
