@@ -1,7 +1,11 @@
 """The pipeline's stages, one after the other, each held against its operator."""
 
+import collections
+
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF
 from stratafold.llm import common, packing, simhash
 
@@ -36,9 +40,35 @@ def test_stages(spark):
         before = after
 
 
+def whole(pieces):
+    """The documents whose pieces stand end to end, and their lengths."""
+    of = collections.defaultdict(list)
+    for r in pieces:
+        of[r.doc_id, r.doc_tokens].append((r.start, r.length))
+    for (_, tokens), parts in of.items():
+        assert sum(n for _, n in parts) % tokens == 0 and min(parts)[0] == 0
+    return collections.Counter(i for i, _ in of)
+
+
 @pytest.mark.parametrize("rows", [0, 1])
 def test_run_on_tiny_tables(spark, tmp_path, rows):
     for name in ("documents", "labels"):
         common.table(spark, SF, name).limit(rows).write.parquet(f"{tmp_path}/{name}.parquet")
     found = corpus_pipeline.run(spark, str(tmp_path))
-    assert found.columns[0] == "doc_id" and found.count() >= 0
+    assert found.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert sum(whole(found.collect()).values()) <= rows
+
+
+def test_run_on_odd_rows(spark, tmp_path):
+    """Null texts and ids, ids that repeat on several texts, and columns of the operators' own names."""
+    docs = common.table(spark, SF, "documents")
+    some = docs.where("doc_id < 20")
+    odd = (docs.unionByName(some.withColumn("text", F.lit(None).cast("string")))
+           .unionByName(some.withColumn("doc_id", F.lit(None).cast("bigint")))
+           .unionByName(some.withColumn("text", F.reverse("text"))).unionByName(some))
+    odd.selectExpr("*", "1 fingerprint", "'x' mix_kept", "2.5D quality_pred", "text lang_ambiguous").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    common.table(spark, SF, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    found = whole(corpus_pipeline.run(spark, str(tmp_path)).collect())
+    known = {r.doc_id for r in docs.collect()}
+    assert found and set(found) <= known | {None}
