@@ -27,7 +27,9 @@ from stratafold.session import new_folder
 
 REVISIT_FROM = 1000
 FILE_BYTES = 64 << 20
-SHARD_BYTES = 512 << 20
+SHARD_BYTES = 256 << 20
+#: A small table has shards of this many bytes, up to this many of them.
+FEWEST_BYTES, FEW_SHARDS = 1 << 20, 64
 MOST_SHARDS = 1 << 17
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -134,7 +136,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     facts = stored(rows.select("id", F.sha1("payload").alias("sha1"),
                                F.octet_length("payload").cast("bigint").alias("size")), "warc_facts")
     total = facts.agg(F.sum("size")).first()[0] or 0
-    shards = min(MOST_SHARDS, max(2 * parts_of(spark), total // shard_bytes))
+    shards = min(MOST_SHARDS, max(1, min(FEW_SHARDS, total // FEWEST_BYTES), total // shard_bytes))
     splits = sampled_splits(facts, "id", shards)
     large = facts.where(F.col("size") >= revisit_from)
     heads = large.groupBy("sha1").agg(F.max("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -147,7 +149,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     least = F.lit(-(1 << 63))
     placed = both.withColumn("shard", range_index(splits)(F.coalesce("id", least)))
     # Copies of an id and payload lie side by side, after the row that says what they revisit.
-    placed = placed.repartition(parts_of(spark), "shard").sortWithinPartitions(
+    placed = placed.repartitionById(max(1, len(splits)), "shard").sortWithinPartitions(
         "shard", "id", "sha1", "kind", F.xxhash64("url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

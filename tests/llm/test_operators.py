@@ -154,6 +154,23 @@ def test_warc_round_trip_and_same_files_twice(spark, tmp_path):
     assert empty.count() == 0 and warc.read_warc(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_warc_files_do_not_hang_on_the_session(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FEWEST_BYTES", 500)
+    monkeypatch.setattr(warc, "FEW_SHARDS", 9)
+    df = spark.createDataFrame([(i, None, f"<p>{i % 50}</p>" * 30) for i in range(200)],
+                               "page_id bigint, url string, html string")
+    before, sums = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in ("4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            rows = warc.write_warc(df, f"{tmp_path}/p{parts}").collect()
+            sums.append(sorted((r.shard, r.seq, r.name, r.records, r.sha256) for r in rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sums[0] == sums[1] and len(sums[0]) == 9 and sum(r[3] for r in sums[0]) == 200
+    assert max(r[3] for r in sums[0]) < 60
+
+
 # --- 3 --------------------------------------------------------------------------------------------
 
 def test_minhash_edited_texts_and_likeness(docs):
@@ -384,6 +401,58 @@ def test_token_files_round_trip(spark, docs, odd, empty, library):
     assert wavelet.read_tokens(spark, path + "e").count() == 0
 
 
+@pytest.mark.parametrize("parts", ["3", "16"])
+def test_token_file_lookup_equals_plain_search(spark, docs, library, monkeypatch, parts):
+    monkeypatch.setattr(wavelet, "FEWEST_ROWS", 25)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "the null"), (None, ""), (5, None)]
+    path, before = new_folder(spark, "tokens"), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        manifest = sorted(wavelet.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), path,
+                                               block_ids=2000).collect())
+        store, folder = warc.open_folder(path)
+        assert len(manifest) == min(wavelet.FEW_SHARDS, len(rows) // 25)
+        everything = []
+        for m in manifest:
+            with store.open_input_file(f"{folder}/{m.name}") as stream:
+                file = wavelet.TokenFile(stream)
+                stream.seek(0)
+                blocks = list(wavelet.read_blocks(stream))
+                ids = np.concatenate([b[3].decode() for b in blocks])
+                owner = [(int(k) if p else None, at) for b in blocks for k, p, n in zip(*b[:3]) for at in range(n)]
+                assert len(file) == m.ids == len(ids) and len(blocks) == len(file.offsets) - 1
+                everything.append((m.shard, ids, owner))
+                assert file.count(1) == m.documents and file.read == 0
+                for place in range(0, len(ids), 97):
+                    seen = file.read
+                    assert file.access(place) == ids[place] and file.read <= seen + 1
+                    assert file.document(place) == owner[place]
+                for symbol in {1, int(ids[0]), int(np.bincount(ids).argmax()), 49_000}:
+                    places = np.flatnonzero(ids == symbol)
+                    assert file.count(symbol) == len(places)
+                    for stop in (0, 1, len(ids) // 2, len(ids) - 1, len(ids), len(ids) + 5):
+                        assert file.count(symbol, stop) == (places < stop).sum()
+                    some = range(0, len(places), 1 + len(places) // 20)
+                    assert [file.find(symbol, k) for k in some] == places[list(some)].tolist()
+                    for k in (-1, len(places)):
+                        with pytest.raises(IndexError):
+                            file.find(symbol, k)
+                for place in (-1, len(ids)):
+                    with pytest.raises(IndexError):
+                        file.access(place)
+        common_id = int(np.bincount(np.concatenate([e[1] for e in everything])).argmax())
+        rare_id = int(everything[-1][1][0])
+        counts = {r.token: r.n for r in wavelet.count_tokens(spark, path, [1, common_id, rare_id, 48_999]).collect()}
+        for symbol in {1, common_id, rare_id}:
+            want = sorted((shard, int(p), -1 if owner[p][0] is None else owner[p][0], owner[p][1])
+                          for shard, ids, owner in everything for p in np.flatnonzero(ids == symbol))
+            found = wavelet.find_token(spark, path, symbol).na.fill(-1, ["doc_id"])
+            assert counts[symbol] == len(want) and sorted(tuple(r) for r in found.collect()) == want
+        assert sum(e[1].tolist().count(48_999) for e in everything) == counts.get(48_999, 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def check_pieces(pieces, texts, library):
     of = collections.defaultdict(list)
     for p in pieces:
