@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from stratafold.contract import TableContract
 from stratafold.functions.rows import rows_frame
 from stratafold.operators import joins
+from stratafold.session import new_folder
+
+#: Repeated hashes of a wide key that are broadcast at most, eight bytes each.
+MOST_REPEATED = 1 << 20
 
 
 def pk_not_null(df: DataFrame, pk: str) -> DataFrame:
@@ -28,6 +32,31 @@ def pk_unique(df: DataFrame, *pk: str) -> DataFrame:
     return df.groupBy(*pk).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
 
 
+def repeated_keys(df: DataFrame, *pk: str, most: int = MOST_REPEATED) -> DataFrame:
+    """``pk_unique`` for wide keys (long texts, many columns): only suspects are moved whole.
+
+    A first pass counts 64-bit hashes of the key and stores those seen twice; the second groups the
+    rows with such a hash by the key itself, so keys that only share a hash are told apart. It reads
+    the frame twice, and the first pass runs when this is called. With more than ``most``
+    repeated hashes the key is grouped directly: the rows are the same either way.
+    """
+    name = "_hash"
+    while name in {c.lower() for c in df.columns}:
+        name = "_" + name
+    counted = df.groupBy(_key_hash(pk).alias(name)).agg(F.count(F.lit(1)).alias("cnt"))
+    folder = new_folder(df.sparkSession, "repeated_keys")
+    counted.where("cnt > 1").select(name).write.parquet(folder)
+    repeated = df.sparkSession.read.schema(f"{name} bigint").parquet(folder)
+    if repeated.count() > most:
+        return pk_unique(df, *pk)
+    suspects = df.select(*pk).join(F.broadcast(repeated), _key_hash(pk) == F.col(name), "left_semi")
+    return pk_unique(suspects, *pk)
+
+
+def _key_hash(pk: Iterable[str]) -> F.Column:
+    return F.xxhash64(*pk)
+
+
 def max_length(df: DataFrame, column: str, length: int) -> DataFrame:
     return df.where(F.length(F.col(column).cast("string")) > length)
 

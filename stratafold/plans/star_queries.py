@@ -319,6 +319,12 @@ def audit_pk_unique(spark, folder):
     return audits.pk_unique(read(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
 
 
+@query("""SELECT lang, text, COUNT(*) AS cnt FROM documents
+    GROUP BY lang, text HAVING COUNT(*) > 1""")
+def audit_pk_unique_wide(spark, folder):
+    return audits.repeated_keys(read(spark, folder, "documents"), "lang", "text")
+
+
 @query("SELECT * FROM documents WHERE LENGTH(CAST(text AS VARCHAR)) > 5000")
 def audit_max_length(spark, folder):
     return audits.max_length(read(spark, folder, "documents"), "text", 5000)

@@ -123,3 +123,23 @@ def test_measured_audits_are_not_counted_again(layers, spark, frame, rows):
 def test_measures_of_no_rows(layers, frame):
     layers.replace(frame([], "k int"), "silver.t", audits=[Audit("t", "has_key", "pk_not_null", "k")])
     assert list(layers.measured("silver").values()) == [0]
+
+
+@pytest.mark.parametrize("most", [audits.MOST_REPEATED, 0])
+def test_repeated_keys_are_those_of_one_grouping(spark, rows, monkeypatch, most):
+    data = [(i % 7 if i % 5 else None, None if i % 11 == 0 else "t" * (i % 3), i / 2 * (-1) ** i) for i in range(90)]
+    data += [(1, "once", 0.0), (2, "zero", 0.0), (2, "zero", -0.0), (3, "nan", float("nan")), (3, "nan", float("nan"))]
+    data += [(4, "hot", 1.0)] * 500
+    df = spark.createDataFrame(data, "k int, _hash string, v double")
+    for pk in (["k", "_hash"], ["_hash"], ["k", "_hash", "v"], ["v"]):
+        want = [repr(r) for r in rows(audits.pk_unique(df, *pk))]
+        assert want and [repr(r) for r in rows(audits.repeated_keys(df, *pk, most=most))] == want
+    monkeypatch.setattr(audits, "_key_hash", lambda pk: F.xxhash64(F.col(pk[0]).isNull()))  # nearly all collide
+    assert rows(audits.repeated_keys(df, "k", "_hash")) == rows(audits.pk_unique(df, "k", "_hash"))
+    assert audits.repeated_keys(df.limit(0), "k").count() == 0
+
+
+def test_repeated_keys_move_only_suspects(spark):
+    df = spark.range(1000).selectExpr("id", "repeat(cast(id as string), 50) as t")
+    plan = audits.repeated_keys(df, "id", "t")._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
