@@ -84,6 +84,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 CSV_RANGE_BYTES = 32 << 20
 _MORE_BYTES = 1 << 20
+_MOST_TASKS = 1 << 16
 _BATCH_BYTES = 4 << 20
 _COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 
@@ -100,20 +101,22 @@ def read_csv_ranges(spark: SparkSession, path: str, schema: T.StructType,
     Quotes must stand around values or be doubled within them (RFC 4180, and what ``write_csv``
     writes); a single quote inside an unquoted value would shift what follows, so such files
     need ``read_csv``. Compressed files can't be parted and are refused. Columns go by place;
-    empty lines are left out.
+    empty lines are left out. The files are listed when this is called, and read when the frame is.
     """
     if range_bytes < 1:
         raise ValueError(f"range_bytes is {range_bytes}")
     listed = spark.read.format("binaryFile").load(path).select("path", "length")
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)),
                         F.lit(range_bytes).cast("bigint"))
-    ranges = listed.where("length > 0").select("path", "length", F.explode(starts).alias("start")).repartition(
-        "path", "start")
+    ranges = listed.where("length > 0").select("path", "length", F.explode(starts).alias("start"))
+    # Given as a number, so that adaptive execution does not put these few rows into one task.
+    tasks = min(_MOST_TASKS, max(1, ranges.count()))
+    ranges = ranges.repartition(tasks, "path", "start")
     within = F.sum("quotes").over(
         Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     counted = ranges.mapInArrow(_quotes_of(range_bytes), "path string, length bigint, start bigint, quotes bigint")
     placed = counted.select("path", "length", "start", F.coalesce(within % 2, F.lit(0)).alias("quoted"))
-    lines = placed.repartition("path", "start").mapInArrow(_records_of(range_bytes), "line string")
+    lines = placed.repartition(tasks, "path", "start").mapInArrow(_records_of(range_bytes), "line string")
     options = {**_CSV_OPTIONS, "multiLine": "true"}
     parsed = lines.select(F.from_csv("line", _ddl(schema), options).alias("row"))
     return lower_names(parsed.select("row.*"))

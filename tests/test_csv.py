@@ -3,6 +3,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratafold.session import new_folder
 from stratafold.sources.sinks import write_csv
@@ -60,6 +61,13 @@ def test_byte_ranges_read_what_one_task_reads(spark, tmp_path, frame, rows, monk
             assert rows(read_csv(spark, str(place), schema, multiline=True)) == want
 
 
+def test_each_byte_range_may_have_a_task(spark, tmp_path, frame):
+    (tmp_path / "a.csv").write_text("k\n" + "".join(f"{i}\n" for i in range(500)))
+    found = read_csv_ranges(spark, str(tmp_path / "a.csv"), frame([], "k int").schema, range_bytes=100)
+    tasks = found.select("k", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.k for r in tasks) == list(range(500)) and len({r.task for r in tasks}) > 5
+
+
 def test_byte_ranges_over_a_written_folder(spark, frame, rows):
     place = new_folder(spark, "csv") + "/t.csv"
     write_csv(frame(HARD, "k int, t string").repartition(3), place)
