@@ -498,26 +498,29 @@ def test_packing_signature_hangs_on_the_text_only(spark):
     for rows in (data, data[::-1], data[:1], data[1:131]):
         df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
         text_of = dict(rows)
-        for r in packing._tokenized(df, "doc_id", "text", encode.tokenizer_path()).where("term is null").collect():
+        for r in df.select("doc_id", "text").mapInArrow(
+                packing._token_rows(encode.tokenizer_path()),
+                "id bigint, size bigint, sig bigint, ids binary, wide boolean, part int, term int, df bigint",
+        ).where("term is null").collect():
             signatures[text_of[r.id]].add(r.sig)
     assert all(len(s) == 1 for s in signatures.values()) and 0 not in set.union(*signatures.values())
     assert len(set.union(*signatures.values())) == len(texts)
 
 
-def plain_packing(texts, library):
-    """All ids, and each document's BM25 scores against all others by every term, with one index."""
-    ids = [np.array(library(t), np.int64) for t in texts]
-    df = collections.Counter(t for x in ids for t in set(x.tolist()))
-    idf = np.zeros(max(df) + 1)
-    for t, c in df.items():
-        idf[t] = math.log(1 + (len(ids) - c + 0.5) / (c + 0.5))
-    group = packing._Group(list(range(len(ids))), ids, idf, np.mean([len(x) for x in ids]))
-    return ids, [group.scores(group.query_of(d)) for d in range(len(ids))]
+def plain_bm25(texts, library):
+    """Each document's BM25 scores against all documents, term by term, k1 = 1.2 and b = 0.75."""
+    bags = [collections.Counter(library(t)) for t in texts]
+    sizes = [sum(b.values()) for b in bags]
+    mean, n = sum(sizes) / len(sizes), len(bags)
+    df = collections.Counter(t for b in bags for t in b)
+    weight = [{t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * size / mean))
+               for t, c in b.items()} for b, size in zip(bags, sizes)]
+    return np.array([[sum(w.get(t, 0) for t in seed) for w in weight] for seed in bags])
 
 
-@pytest.mark.parametrize("dense", [512, 20])
-def test_packing_lists_equal_brute_force_over_all_documents(spark, docs, library, monkeypatch, dense):
-    for name, value in (("GROUP", 37), ("SEEDS", 30), ("DENSE_TERMS", dense)):
+@pytest.mark.parametrize("share", [0, 1 / 400, 0.2, 2])
+def test_packing_lists_equal_brute_force_over_all_documents(spark, docs, library, monkeypatch, share):
+    for name, value in (("GROUP", 37), ("SEEDS", 30), ("DENSE_SHARE", share)):
         monkeypatch.setattr(packing, name, value)
     caught = []
     plain_round = packing._round
@@ -528,7 +531,7 @@ def test_packing_lists_equal_brute_force_over_all_documents(spark, docs, library
     key = [t[0] for i in range(len(shards.files)) for t in shards.texts(i)]
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert len(shards.files) > 3 and sorted(key) == sorted(texts)
-    scores = plain_packing([texts[k] for k in key], library)[1]
+    scores = plain_bm25([texts[k] for k in key], library)
     free = np.arange(len(key)) % 5 > 0
     for row, _, near, _ in shards.best(np.arange(len(key)), free, 7):
         own = np.where(free & (np.arange(len(key)) != row), scores[row], -np.inf)
@@ -536,11 +539,28 @@ def test_packing_lists_equal_brute_force_over_all_documents(spark, docs, library
         assert np.allclose(own[near], np.sort(own)[::-1][:7], rtol=1e-5)
 
 
+def test_packing_shards_part_languages(spark):
+    """The centroids part texts that share few terms, whatever the order of the rows."""
+    words = {"en": "the cat sat on a mat and then it went away from here".split(),
+             "de": "der Hund liegt im Garten und die Katze schaut ihm lange zu".split()}
+    rng = np.random.default_rng(2)
+    data = [(i, " ".join(rng.choice(words["en" if i % 2 else "de"], 12))) for i in range(120)]
+    found = []
+    for rows in (data, data[::-1]):
+        weights = packing._centroids(spark.createDataFrame(rows, "doc_id bigint, text string"), "text",
+                                     encode.tokenizer_path())
+        encoder = encode.Encoder.of(encode.tokenizer_path())
+        found.append([int(weights[np.unique(encoder.encode([t], 1)[0] % packing._BINS)].sum(0).argmax())
+                      for _, t in data])
+    assert found[0] == found[1]
+    assert not {k for k, (i, _) in zip(found[0], data) if i % 2} & {k for k, (i, _) in zip(found[0], data) if not i % 2}
+
+
 @pytest.mark.parametrize("seeds, least", [(500, 95), (50, 60)])
 def test_packing_finds_neighbours_in_other_shards(spark, monkeypatch, seeds, least):
     """Pairs of like texts, far apart and without a common id pair, share windows whatever the partitions."""
-    for name, value in (("GROUP", 20), ("SEEDS", seeds), ("LISTED", 4)):
-        monkeypatch.setattr(packing, name, value, raising=False)
+    for name, value in (("GROUP", 20), ("SEEDS", seeds), ("LAST_SEEDS", seeds), ("LISTED", 4)):
+        monkeypatch.setattr(packing, name, value)
     rng = np.random.default_rng(4)
     vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(3000)]
     topics = [rng.choice(vocabulary, 30, replace=False) for _ in range(100)]
@@ -560,14 +580,6 @@ def test_packing_finds_neighbours_in_other_shards(spark, monkeypatch, seeds, lea
     assert sum(bool(of[i] & of[i + 100]) for i in range(100)) >= least
 
 
-def test_packing_prefers_neighbours():
-    idf = np.ones(50)
-    ids = [np.array(v, np.uint32) for v in ([1, 2, 3, 4], [9, 9, 8], [20, 21], [2, 3, 4, 5], [22, 23])]
-    group = packing._Group(list(range(5)), ids, idf, 3.0)
-    group.take(0)
-    assert next(group.ranked(group.query_of(0))) == 3
-
-
 # --- 7 --------------------------------------------------------------------------------------------
 
 def test_katz_equals_brute_force(spark, docs, monkeypatch):
