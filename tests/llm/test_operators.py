@@ -520,7 +520,7 @@ def plain_bm25(texts, library):
 
 @pytest.mark.parametrize("share", [0, 1 / 400, 0.2, 2])
 def test_packing_lists_equal_brute_force_over_all_documents(spark, docs, library, monkeypatch, share):
-    for name, value in (("GROUP", 37), ("SEEDS", 30), ("DENSE_SHARE", share)):
+    for name, value in (("GROUP", 37), ("SCORED", 50), ("SEEDS", 30), ("LEAST_SEEDS", 9), ("DENSE_SHARE", share)):
         monkeypatch.setattr(packing, name, value)
     caught = []
     plain_round = packing._round
@@ -559,7 +559,7 @@ def test_packing_shards_part_languages(spark):
 @pytest.mark.parametrize("seeds, least", [(500, 95), (50, 60)])
 def test_packing_finds_neighbours_in_other_shards(spark, monkeypatch, seeds, least):
     """Pairs of like texts, far apart and without a common id pair, share windows whatever the partitions."""
-    for name, value in (("GROUP", 20), ("SEEDS", seeds), ("LAST_SEEDS", seeds), ("LISTED", 4)):
+    for name, value in (("GROUP", 20), ("SEEDS", seeds), ("LEAST_SEEDS", seeds), ("LAST_SEEDS", seeds), ("LISTED", 4)):
         monkeypatch.setattr(packing, name, value)
     rng = np.random.default_rng(4)
     vocabulary = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(3000)]
