@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, types as T
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _KINDS = ("inner", "left", "left_semi", "left_anti")
@@ -52,7 +52,8 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
 
     Rows of few copies stay where they are. Those of more are made in blocks, and the blocks are
     dealt out before their copies are made, so that no array grows large and the copies of one
-    row come from many tasks.
+    row come from many tasks. Both parts need the same columns, so that they read the same
+    shuffles of ``df`` and what lies below those runs once.
     """
     first, bound = F.lit(1).cast("bigint"), F.lit(FEW_COPIES).cast("bigint")
     few = (df.where((F.col(times) > 0) & (F.col(times) <= bound))
@@ -66,11 +67,10 @@ def _repeat_many(df: DataFrame, times: str) -> DataFrame:
     in_block = F.least(F.lit(_REPEAT_BLOCK).cast("bigint"),
                        F.col(times) - F.col("_block") * _REPEAT_BLOCK)
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    content = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.withColumn("_block", F.explode(F.sequence(zero, last_block)))
-        .repartition(parts, *content, "_block")
+        .repartition(parts)
         .withColumn("_copy", F.explode(F.sequence(one, in_block)))
         .drop(times, "_block", "_copy")
     )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from stratafold.operators.audits import Audit
 from stratafold.plans.models import Model
-from stratafold.sources.raw import append_load, last_write, load_ids
+from stratafold.sources.raw import COMPRESSION, append_load, last_write, load_ids
 from stratafold.sources.tables import row_limit
 
 LAYERS = ("raw", "stg", "silver")
@@ -116,7 +116,7 @@ class Layers:
         if own:
             df = df.observe(watched, *[a.measure.alias(f"m{i}") for i, a in enumerate(own)])
         try:
-            df.write.saveAsTable(version)
+            df.write.option("compression", COMPRESSION).saveAsTable(version)
             measured = {a.key: watched.get[f"m{i}"] for i, a in enumerate(own)}
         except BaseException:
             self.spark.sql(f"DROP TABLE IF EXISTS {version}")

@@ -78,6 +78,9 @@ def provision(table: Lookup, contract: TableContract) -> DataFrame:
     No column of those four is selected, so only the number of matches counts. The
     right sides are reduced to one row per key first; what an indication's dossiers
     would match under the youth law, another law, and no known law is summed per key.
+    Decisions matter where there are several: those are brought to the indications' (decision,
+    number) pairs by the pairs alone, so that the wide rows are shuffled once for all joins.
+    Indications without a number, which no dossier meets, are joined by their decision.
     """
     law = F.col("omschryving")
     laws = table("stg.szregel").groupBy(F.col("kode_regeling").alias("law")).agg(
@@ -104,13 +107,23 @@ def provision(table: Lookup, contract: TableContract) -> DataFrame:
              F.count(F.lit(1)).alias("as_unnamed"))
     )
     indications = table("stg.wvind_b").drop("clientnr", LOAD_ID)
-    rows = keyed_join(indications, laws, {"kode_regeling": "law"}, "left")
-    rows = keyed_join(rows, dossiers, {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "left")
-    rows = with_matches(rows, table("stg.wvbesl"), {"besluitnr": "besluitnr"}, "decisions")
+    numbered = indications.where(F.col("volgnr_ind").isNotNull())
+    rest = with_matches(indications.where(F.col("volgnr_ind").isNull()), table("stg.wvbesl"),
+                        {"besluitnr": "besluitnr"}, "decisions")
+    several = table("stg.wvbesl").groupBy(F.col("besluitnr").alias("b_besluitnr")).agg(
+        F.count(F.lit(1)).alias("decisions")).where(F.col("decisions") > 1)
+    shared = keyed_join(numbered.select("besluitnr", "volgnr_ind"), several, {"besluitnr": "b_besluitnr"}, "inner")
+    shared = shared.groupBy(F.col("besluitnr").alias("s_besluitnr"), F.col("volgnr_ind").alias("s_volgnr")).agg(
+        F.max("decisions").alias("decisions"))
+    rows = keyed_join(numbered, dossiers, {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "left")
+    rows = keyed_join(rows, shared, {"besluitnr": "s_besluitnr", "volgnr_ind": "s_volgnr"}, "left")
+    rows = rows.unionByName(rest, allowMissingColumns=True)
+    rows = keyed_join(rows, laws, {"kode_regeling": "law"}, "left")
     matched = F.when(F.col("youth").isNull(), at_least_one("as_unnamed")).otherwise(
         F.col("youth") * at_least_one("as_youth") + F.col("other") * at_least_one("as_other")
         + F.col("unnamed") * at_least_one("as_unnamed"))
-    rows = repeat_rows(rows.withColumn("times", matched * at_least_one("decisions")), "times")
+    rows = rows.select(*indications.columns, (matched * at_least_one("decisions")).alias("times"))
+    rows = repeat_rows(rows, "times")
 
     key = contract.column("beschikte_voorziening_id").type
     return conform(rows, contract, {
@@ -131,16 +144,16 @@ def client(table: Lookup, contract: TableContract) -> DataFrame:
 
 
 def claim_line(table: Lookup, contract: TableContract) -> DataFrame:
-    """Payments to their dossier by its text key, then to the indication of the dossier."""
+    """Indications to their dossiers, then to the payments of a dossier by its text key, so that
+    payments are shuffled once."""
     payments = table("stg.szukhis").select(
         F.col("uniekwvdos").cast("string").alias("uniekwvdos"), "bedrag", "verslagnr")
     dossiers = table("stg.wvdos").select(
         F.col("uniek").cast("string").alias("uniek"), F.col("besluitnr").alias("d_besluitnr"),
         F.col("volgnr_ind").alias("d_volgnr"))
     indications = table("stg.wvind_b").select("besluitnr", "volgnr_ind", "clientnr")
-    paid = keyed_join(payments, dossiers, {"uniekwvdos": "uniek"}, "inner")
-    rows = keyed_join(indications, paid,
-                       {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "inner")
+    known = keyed_join(indications, dossiers, {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "inner")
+    rows = keyed_join(payments, known.drop("volgnr_ind"), {"uniekwvdos": "uniek"}, "inner")
     return conform(rows, contract, {
         "declaratieregel_id": "uniekwvdos",
         "bedrag": "bedrag",

@@ -16,6 +16,8 @@ LOAD_ID = "_load_id"
 LOAD_TIME = "_load_time"
 #: Table property that changes with every load written.
 LAST_WRITE = "stratafold.last_write"
+#: Codec of stored tables: keys and texts take about two thirds of what Spark's default gives.
+COMPRESSION = "zstd"
 _WIDE = "__wide"
 
 
@@ -84,7 +86,7 @@ def _place(spark: SparkSession, table: str) -> str:
 def _create(spark: SparkSession, table: str, schema: T.StructType, place: str | None) -> None:
     at = f" LOCATION '{place}'" if place else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema.toDDL()}) USING parquet "
-              f"PARTITIONED BY ({LOAD_ID}){at}")
+              f"OPTIONS (compression '{COMPRESSION}') PARTITIONED BY ({LOAD_ID}){at}")
 
 
 def _common_types(table: str, known: T.StructType, loaded: T.StructType) -> dict[str, T.DataType]:

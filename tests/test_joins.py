@@ -1,6 +1,7 @@
 """Joins against plain joins, on keys of which one holds a third of the rows or more."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,20 @@ def test_rows_of_few_copies_are_not_shuffled(spark, rows):
     assert counted == {**{i: i % 3 for i in range(400) if i % 3}, 5: 30_000}
     spread = found.where("id = 5").select(F.spark_partition_id().alias("p")).distinct().count()
     assert spread >= 2
+
+
+def test_few_and_many_copies_read_the_same_shuffle(spark, rows):
+    """What lies below the last shuffle runs once, also when later steps drop columns."""
+    left = spark.range(300).select((F.col("id") % 9).alias("k"), F.col("id").alias("row"), F.lit("x").alias("unused"))
+    right = spark.range(400).select(F.when(F.col("id") < 350, 5).otherwise(F.col("id") % 9).alias("rk"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = with_matches(left, right, {"k": "rk"}, "n").withColumn("n", F.col("n") + F.col("row") % 2)
+        found = repeat_rows(met, "n").select("k")
+        counted = dict(Counter(r.k for r in found.collect()))
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("ReusedExchange") == 2
+    assert counted == {r.k: r.n for r in met.groupBy("k").agg(F.sum("n").alias("n")).collect()}

@@ -227,3 +227,10 @@ def test_plan_setting_is_put_back_by_the_last_refresh(layers, spark):
             pass
         assert spark.conf.get(key) == "100000"
     assert spark.conf.get(key) == before
+
+
+def test_stored_tables_are_compressed_with_zstd(layers, frame):
+    run(layers, {"t": frame([(1, 1)], "a int, b int")}, models(), "L1", WHEN)
+    for name in ("raw.t", "stg.t", "silver.t"):
+        files = layers.table(name).inputFiles()
+        assert files and all(".zstd." in file for file in files)

@@ -135,6 +135,20 @@ def test_joins_with_repeated_and_missing_keys(spark, table):
     assert sorted(found, key=key) == sorted(want, key=key)
 
 
+def test_provision_without_numbers_or_decisions(spark):
+    """Decisions count for indications without a number too; those without a decision meet none."""
+    data = messy_rows()
+    rng = random.Random(6)
+    data["wvind_b"] = [(*rng.choice([(nr, line), (nr, None), (None, line)]), *rest)
+                       for nr, line, *rest in data["wvind_b"]]
+    data["wvbesl"] += [(None, 1)] * 4
+    data["wvdos"] += [(None, 1, "7", "EINDE_WMO"), (1001, None, "8", "EINDE_WMO"), (None, None, "9", None)] * 3
+    for table in ("beschikte_voorziening", "declaratieregel"):
+        names, want = expected(data, table)
+        found = [tuple(r) for r in built(spark, data)(f"silver.{table}").select(*names).collect()]
+        assert sorted(found, key=key) == sorted(want, key=key) and found
+
+
 def test_dates_and_rounding(spark):
     data = fixture_rows() | {"wvind_b": [
         (1001, i, 1, "2024-03-31T02:30:00", "2024-12-31T23:59:59", v, "s", "1")
