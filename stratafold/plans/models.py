@@ -112,7 +112,9 @@ def provision(table: Lookup, contract: TableContract) -> DataFrame:
                         {"besluitnr": "besluitnr"}, "decisions")
     several = table("stg.wvbesl").groupBy(F.col("besluitnr").alias("b_besluitnr")).agg(
         F.count(F.lit(1)).alias("decisions")).where(F.col("decisions") > 1)
-    shared = keyed_join(numbered.select("besluitnr", "volgnr_ind"), several, {"besluitnr": "b_besluitnr"}, "inner")
+    # Where no decision stands twice, as its key promises, no pair is shuffled.
+    pairs = numbered.select("besluitnr", "volgnr_ind").where(several.agg(F.count(F.lit(1))).scalar() > 0)
+    shared = keyed_join(pairs, several, {"besluitnr": "b_besluitnr"}, "inner")
     shared = shared.groupBy(F.col("besluitnr").alias("s_besluitnr"), F.col("volgnr_ind").alias("s_volgnr")).agg(
         F.max("decisions").alias("decisions"))
     rows = keyed_join(numbered, dossiers, {"besluitnr": "d_besluitnr", "volgnr_ind": "d_volgnr"}, "left")

@@ -1,16 +1,19 @@
 """The shipped models on the small fixture: rows as the plain SQL joins give them."""
 
 import random
+import re
 from datetime import date
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from stratafold.operators.audits import summarise
 from stratafold.operators.conformance import conforms, schema_diff, schema_rows
 from stratafold.plans import contracts, oracle
 from stratafold.plans.layers import refresh, run
 from stratafold.plans.models import all_models, target_models, unstored
+from stratafold.plans.star_schema import exact_sum
 from stratafold.plans.suite import target_audits
 from stratafold.sources.raw import LOAD_ID, LOAD_TIME, stamp
 
@@ -149,6 +152,35 @@ def test_provision_without_numbers_or_decisions(spark):
         assert sorted(found, key=key) == sorted(want, key=key) and found
 
 
+def test_pairs_are_shuffled_only_if_a_decision_stands_twice(spark):
+    """Decisions that stand once add no rows, so the pairs wait for a count of the others."""
+    for more in ([], [(1001, 1)], [(1001, 1)] * 2 + [(1002, 1)]):
+        data = fixture_rows()
+        data["wvbesl"] = data["wvbesl"] + more
+        df = built(spark, data)("silver.beschikte_voorziening")
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"scalar-subquery#\d+ \[[^\]]*\] > 0", plan)
+        names, want = expected(data, "beschikte_voorziening")
+        found = [tuple(r) for r in df.select(*names).collect()]
+        assert len(found) == 2 * (N + len(more)) and sorted(found, key=key) == sorted(want, key=key)
+
+
+def test_sums_of_amounts_are_exact_and_narrow(spark):
+    rng = random.Random(3)
+    most = "9999999999999999.99"
+    data = [(1, most)] * 40 + [(2, "-" + most)] * 3 + [(2, "0.01"), (3, None), (4, None), (4, "-0.07")]
+    data += [(i, f"{rng.choice(['', '-'])}{rng.randrange(10 ** (i % 17))}.{rng.randrange(100):02d}")
+             for i in range(5, 300) for _ in range(5)]
+    rows = spark.createDataFrame(data, "k int, v string").select("k", F.col("v").cast("decimal(18,2)").alias("v"))
+    found = rows.groupBy("k").agg(exact_sum(F.col("v")).alias("total"))
+    want = rows.groupBy("k").agg(F.sum("v").alias("want"))
+    both = found.join(want, "k").select("*", (F.col("total").cast("double").eqNullSafe(
+        F.col("want").cast("double"))).alias("same")).collect()
+    assert len(both) == 299 and all(r.same and r.total == r.want for r in both)
+    partial = found._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
+    assert "partial_sum" in partial and "isEmpty" not in partial  # no DECIMAL is summed
+
+
 def test_dates_and_rounding(spark):
     data = fixture_rows() | {"wvind_b": [
         (1001, i, 1, "2024-03-31T02:30:00", "2024-12-31T23:59:59", v, "s", "1")
