@@ -581,6 +581,41 @@ def test_packing_finds_neighbours_in_other_shards(spark, monkeypatch, seeds, lea
     assert sum(both) >= least
 
 
+@pytest.mark.parametrize("ids", [1, 7, 20, 0])
+def test_packing_scores_one_seed_in_twenty_once(spark, docs, monkeypatch, ids):
+    """Each task's search is written once, by seeds of a twentieth of the rows, whatever the ids."""
+    for name, value in (("GROUP", 37), ("SCORED", 50), ("SEEDS", 6), ("LEAST_SEEDS", 2), ("LISTED", 3)):
+        monkeypatch.setattr(packing, name, value)
+    asked, plain_round = [], packing._round
+    monkeypatch.setattr(packing, "_round", lambda *a: asked.append(plain_round(*a)) or asked[-1])
+    rows = [(i * ids + 3 * (ids == 20) if ids else None, r.text) for i, r in enumerate(docs.limit(200).collect())]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+    assert len(asked) == 1
+    by_seed = collections.defaultdict(list)
+    for r in asked[0].collect():
+        by_seed[r.seed].append(r)
+    assert len([s for s, own in by_seed.items() if any(r.place < 0 for r in own)]) == 10
+    assert {r.row for own in by_seed.values() for r in own if r.place == 3} == set(range(200))
+    assert sum(r.length for r in found) == sum({(r.doc_id, r.doc_tokens): r.doc_tokens for r in found}.values()) or not ids
+
+
+@pytest.mark.parametrize("total", [1, 2047, 2048, 2055, 4096 + 1023])
+def test_packing_cuts_leave_no_gap(total):
+    rng = np.random.default_rng(total)
+    stops = sorted({total, *rng.integers(1, total + 1, 9).tolist()})
+    filled = collections.defaultdict(list)
+    for first, stop in zip([0, *stops], stops):
+        at = 0
+        for start, length, sequence, offset in packing._cuts(first, stop - first, total, 2048):
+            assert start == at and length > 0 and offset == sum(filled[sequence])
+            filled[sequence].append(length)
+            at += length
+        assert at == stop - first
+    sizes = [sum(filled[i]) for i in range(len(filled))]
+    left = total % 2048
+    assert sizes == [2048] * (total // 2048) + [1 << b for b in range(10, -1, -1) if left >> b & 1]
+
+
 # --- 7 --------------------------------------------------------------------------------------------
 
 def test_katz_equals_brute_force(spark, docs, monkeypatch):
