@@ -581,22 +581,70 @@ def test_packing_finds_neighbours_in_other_shards(spark, monkeypatch, seeds, lea
     assert sum(both) >= least
 
 
+def windows_of(pieces, window):
+    """The windows in order, each as (document, start) by place; the last ids, short of a window, are one."""
+    sequences = collections.defaultdict(list)
+    for p in pieces:
+        sequences[p.sequence_id].append((p.offset, p.length, p.doc_id, p.start))
+    out, rest = [], []
+    for _, parts in sorted(sequences.items()):
+        places = [(doc, start) for _, _, doc, start in sorted(parts)]
+        if sum(n for _, n, _, _ in parts) == window:
+            out.append(places)
+        else:
+            rest += places[1:] if rest and places[0][0] == rest[-1][0] else places
+    return [*out, rest] if rest else out
+
+
+@pytest.mark.parametrize("window", [2048, 256])
+def test_packing_windows_hold_the_best_unused_documents(spark, docs, library, monkeypatch, window):
+    """Each window's first document is its seed, and each other one the best unused document of the table by plain BM25."""
+    for name, value in (("GROUP", 37), ("SCORED", 50), ("LEAST_SEEDS", 9)):
+        monkeypatch.setattr(packing, name, value)
+    caught, plain_round = [], packing._round
+    monkeypatch.setattr(packing, "_round", lambda spark, shards, *a: caught.append(shards) or plain_round(spark, shards, *a))
+    docs = docs.limit(150).coalesce(1)
+    pieces = packing.pack(docs, window=window).collect()
+    key = [t[0] for i in range(len(caught[0].open().files)) for t in caught[0].texts(i)]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    row, scores = {k: i for i, k in enumerate(key)}, plain_bm25([texts[k] for k in key], library)
+    unused, followers = set(range(len(key))), 0
+    for (first, start), *others in windows_of(pieces, window):
+        seed = row[first]
+        if start == 0:
+            assert seed == min(unused)
+            unused.remove(seed)
+        for doc, start in others:
+            assert start == 0 and scores[seed][row[doc]] >= max(scores[seed][i] for i in unused) * (1 - 1e-5)
+            unused.remove(row[doc])
+            followers += 1
+    assert not unused and followers > 50
+
+
 @pytest.mark.parametrize("ids", [1, 7, 20, 0])
-def test_packing_scores_one_seed_in_twenty_once(spark, docs, monkeypatch, ids):
-    """Each task's search is written once, by seeds of a twentieth of the rows, whatever the ids."""
-    for name, value in (("GROUP", 37), ("SCORED", 50), ("SEEDS", 6), ("LEAST_SEEDS", 2), ("LISTED", 3)):
+def test_packing_every_window_starts_with_a_seed(spark, docs, library, monkeypatch, ids):
+    """Over rounds with short lists too, and whatever the ids."""
+    for name, value in (("GROUP", 37), ("SCORED", 50), ("SEEDS", 6), ("LEAST_SEEDS", 2), ("LISTED", 3), ("MOST_SEEDS", 20),
+                        ("LAST_SEEDS", 15)):
         monkeypatch.setattr(packing, name, value)
-    asked, plain_round = [], packing._round
-    monkeypatch.setattr(packing, "_round", lambda *a: asked.append(plain_round(*a)) or asked[-1])
-    rows = [(i * ids + 3 * (ids == 20) if ids else None, r.text) for i, r in enumerate(docs.limit(200).collect())]
-    found = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
-    assert len(asked) == 1
-    by_seed = collections.defaultdict(list)
-    for r in asked[0].collect():
-        by_seed[r.seed].append(r)
-    assert len([s for s, own in by_seed.items() if any(r.place < 0 for r in own)]) == 10
-    assert {r.row for own in by_seed.values() for r in own if r.place == 3} == set(range(200))
-    assert sum(r.length for r in found) == sum({(r.doc_id, r.doc_tokens): r.doc_tokens for r in found}.values()) or not ids
+    caught, seeds, plain_round = [], set(), packing._round
+
+    def watched(spark, shards, filler, fresh, listed):
+        caught.append(shards)
+        seeds.update(fresh.tolist(), filler.open)
+        return plain_round(spark, shards, filler, fresh, listed)
+
+    monkeypatch.setattr(packing, "_round", watched)
+    data = [(i * ids + 3 * (ids == 20) if ids else None, r.text) for i, r in enumerate(docs.limit(200).collect())]
+    found = packing.pack(spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)).collect()
+    assert len(caught) > 3
+    if not ids:
+        assert sum(r.length for r in found) == sum(len(library(text)) for _, text in data)
+        return
+    check_pieces(found, dict(data), library)
+    row = {t[0]: n for n, t in enumerate(t for i in range(len(caught[0].open().files)) for t in caught[0].texts(i))}
+    windows = windows_of(found, 2048)
+    assert {row[first] for (first, _), *_ in windows} <= seeds and len(windows) > 60
 
 
 @pytest.mark.parametrize("total", [1, 2047, 2048, 2055, 4096 + 1023])
