@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from stratafold.llm import common, packing, simhash
+from test_operators import library, plain_bm25, windows_of  # noqa: F401
 
 import __spark_entry__ as entry
 
@@ -40,6 +41,21 @@ def test_stages(spark):
         before = after
 
 
+def test_packed_windows_hold_the_seeds_best_documents(spark, library):  # noqa: F811
+    """The last stage's windows: after the first document, each one is the best unused document of the table for it."""
+    docs = common.table(spark, SF, "documents").limit(120)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    row = {key: i for i, key in enumerate(texts)}
+    scores, unused, others = plain_bm25(list(texts.values()), library), set(texts), 0
+    for (seed, start), *rest in windows_of(corpus_pipeline.packed(spark, docs, SF).collect(), 2048):
+        unused -= {seed} if start == 0 else set()
+        for doc, _ in rest:
+            assert scores[row[seed]][row[doc]] >= max(scores[row[seed]][row[i]] for i in unused) * (1 - 1e-5)
+            unused.remove(doc)
+            others += 1
+    assert not unused and others > 40
+
+
 def whole(pieces):
     """The documents whose pieces stand end to end, and their lengths."""
     of = collections.defaultdict(list)
