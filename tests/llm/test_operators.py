@@ -647,6 +647,17 @@ def test_packing_every_window_starts_with_a_seed(spark, docs, library, monkeypat
     assert {row[first] for (first, _), *_ in windows} <= seeds and len(windows) > 60
 
 
+def test_packing_copies_take_few_rounds(spark, library, monkeypatch):
+    """The seeds of many copies ask for different ones, so rounds do not grow with their number over a list's length."""
+    for name, value in (("GROUP", 50), ("LISTED", 4), ("LAST_SEEDS", 8)):
+        monkeypatch.setattr(packing, name, value)
+    rounds, plain_round = [], packing._round
+    monkeypatch.setattr(packing, "_round", lambda *a: rounds.append(plain_round(*a)) or rounds[-1])
+    data = [(i, "the same words in each of these documents " * 3) for i in range(240)]
+    found = packing.pack(spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1), window=64).collect()
+    assert sum(r.length for r in found) == 240 * len(library(data[0][1])) and len(rounds) < 40
+
+
 @pytest.mark.parametrize("total", [1, 2047, 2048, 2055, 4096 + 1023])
 def test_packing_cuts_leave_no_gap(total):
     rng = np.random.default_rng(total)
